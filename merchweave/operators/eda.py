@@ -50,7 +50,8 @@ def monthly_volume(transactions: DataFrame) -> DataFrame:
             F.trunc(F.max("month_end"), "month"),
             F.expr("interval 1 month"),
         ).alias("months")
-    ).select(F.last_day(F.explode("months")).alias("month_end"))
+    ).select(F.explode("months").alias("month"))
+    months = months.select(F.last_day("month").alias("month_end"))
     return months.join(counts, "month_end", "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
 
 

@@ -216,13 +216,14 @@ def nearest(queries: DataFrame, profiles: Profiles) -> DataFrame:
         F.transform("_found", lambda x: F.struct(x["owner"].alias("owner"), x["similarity"].alias("similarity"))), none
     )
     fill = F.transform(
-        F.array_except(profiles.first_owners, F.col("_own.owner")),
+        F.array_except("_first", F.col("_own.owner")),
         lambda o: F.struct(o.alias("owner"), F.lit(0.0).alias("similarity")),
     )
     return (
         queries.select("query_id")
         .join(lists, "query_id", "left")
         .withColumn("_own", own)
+        .withColumn("_first", profiles.first_owners)
         .select(
             "query_id",
             F.when(F.size("_own") >= keep, F.col("_own"))

@@ -116,12 +116,13 @@ def top_categories(shares: DataFrame, owned: DataFrame, catalogue: Column, limit
         lambda x: ~F.array_contains("owned", x["category"]),
     )
     zero = F.transform(
-        F.array_except(F.array_except(catalogue, F.col("owned")), F.col("_kept.category")),
+        F.array_except(F.array_except("_all", "owned"), F.col("_kept.category")),
         lambda c: F.struct(F.lit(-0.0).alias("minus"), c.alias("category")),
     )
     return (
         owned.join(ranked, "query_id", "left")
         .withColumn("_kept", kept)
+        .withColumn("_all", catalogue)
         .select("query_id", F.posexplode(F.slice(F.concat("_kept", zero), 1, limit)).alias("_at", "_c"))
         .select(
             "query_id",
@@ -185,10 +186,8 @@ def catalogue_of(profiles: Profiles) -> Column:
 
 def _named(profiles: Profiles, queries: DataFrame) -> DataFrame:
     """Categories each query already has, by name."""
-    return queries.select(
-        "query_id",
-        F.transform("cats", lambda c: F.element_at(catalogue_of(profiles), c + 1)).alias("owned"),
-    )
+    named = queries.select("query_id", "cats").withColumn("_all", catalogue_of(profiles))
+    return named.select("query_id", F.transform("cats", lambda c: F.element_at("_all", c + 1)).alias("owned"))
 
 
 def seen_items(training: DataFrame, exclude: DataFrame | None = None) -> DataFrame:
