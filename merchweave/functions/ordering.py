@@ -95,16 +95,35 @@ def ranked_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact interpolating medians as rows (column_name, median).
 
-    Columns with few distinct values use Spark's exact percentile, whose buffer
-    holds one entry per distinct value. Otherwise the values are ranked in slices.
+    Columns with few distinct values are counted by value and go to Spark's exact
+    percentile, which then holds one entry per distinct value. The others are
+    ranked in slices.
     """
     if not columns:
         return df.sparkSession.createDataFrame([], "column_name string, median double")
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    if max(sizes) <= SMALL_DOMAIN:
-        wide = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in columns])
-        return wide.unpivot([], list(columns), "column_name", "median")
-    return medians_by_rank(df, columns)
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
+    small = [c for c in columns if sizes[c] <= SMALL_DOMAIN]
+    large = [c for c in columns if sizes[c] > SMALL_DOMAIN]
+    parts = []
+    if small:
+        parts.append(medians_by_count(df, small))
+    if large:
+        parts.append(medians_by_rank(df, large))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _with_all_names(medians: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns without any value get a NULL median."""
+    names = medians.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name")
+    )
+    return names.join(medians, "column_name", "left")
+
+
+def medians_by_count(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    counts = value_counts(df, columns)
+    medians = counts.groupBy("column_name").agg(F.percentile("value", F.lit(0.5), F.col("n")).alias("median"))
+    return _with_all_names(medians, columns)
 
 
 def medians_by_rank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -117,5 +136,4 @@ def medians_by_rank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     middle = ranked.groupBy("column_name").agg(
         ((F.max(F.when(holds(low), F.col("value"))) + F.max(F.when(holds(high), F.col("value")))) / 2).alias("median")
     )
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
-    return names.join(middle, "column_name", "left")
+    return _with_all_names(middle, columns)

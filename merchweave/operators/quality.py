@@ -19,7 +19,6 @@ from merchweave.functions.ordering import exact_medians
 from merchweave.functions.scalars import round_half_even
 
 PASS, WARNING, ERROR = "PASS", "WARNING", "ERROR"
-CHECK_SCHEMA = "table_name string, check_name string, severity string, violations bigint, detail string"
 
 
 @dataclass(frozen=True)
@@ -128,18 +127,36 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_schema(df: DataFrame, table: str, expected: Sequence[str]) -> DataFrame:
-    """Missing columns are an ERROR, extra ones a WARNING; one PASS row if there are neither."""
+def _schema_issues(df: DataFrame, expected: Sequence[str]) -> list[tuple[str, str, int, str]]:
     missing = sorted(set(expected) - set(df.columns))
     extra = sorted(set(df.columns) - set(expected))
-    rows = []
+    issues = []
     if missing:
-        rows.append((table, "schema_missing_columns", ERROR, len(missing), ", ".join(missing)))
+        issues.append(("schema_missing_columns", ERROR, len(missing), ", ".join(missing)))
     if extra:
-        rows.append((table, "schema_extra_columns", WARNING, len(extra), ", ".join(extra)))
-    if not rows:
-        rows.append((table, "schema_match", PASS, 0, ""))
-    return df.sparkSession.createDataFrame(rows, CHECK_SCHEMA)
+        issues.append(("schema_extra_columns", WARNING, len(extra), ", ".join(extra)))
+    return issues or [("schema_match", PASS, 0, "")]
+
+
+def check_schema(df: DataFrame, table: str, expected: Sequence[str]) -> DataFrame:
+    """Missing columns are an ERROR, extra ones a WARNING; one PASS row if there are neither."""
+    entries = [_entry(name, level, F.lit(n), F.lit(detail)) for name, level, n, detail in _schema_issues(df, expected)]
+    return df.sparkSession.range(1).select(F.lit(table).alias("table_name"), F.inline(F.array(*entries)))
+
+
+def _entry(check: str, severity: str, violations: Column, detail: Column | None = None) -> Column:
+    """One check as a struct; it passes if there are no violations."""
+    n = violations.cast("long")
+    return F.struct(
+        F.lit(check).alias("check_name"),
+        F.when(n > 0, F.lit(severity)).otherwise(F.lit(PASS)).alias("severity"),
+        n.alias("violations"),
+        (F.lit("") if detail is None else detail).alias("detail"),
+    )
+
+
+def _range_detail(below: Column, above: Column) -> Column:
+    return F.concat(below.cast("string"), F.lit(" below, "), above.cast("string"), F.lit(" above"))
 
 
 def _numeric(df: DataFrame) -> list[str]:
@@ -180,15 +197,8 @@ def completeness(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _check(df: DataFrame, table: str, check: str, severity: str, violations: Column, detail: Column | None = None):
-    n = violations.cast("long")
-    return df.select(
-        F.lit(table).alias("table_name"),
-        F.lit(check).alias("check_name"),
-        F.when(n > 0, F.lit(severity)).otherwise(F.lit(PASS)).alias("severity"),
-        n.alias("violations"),
-        (F.lit("") if detail is None else detail).alias("detail"),
-    )
+def _check(df: DataFrame, table: str, check: str, severity: str, violations: Column) -> DataFrame:
+    return df.select(F.lit(table).alias("table_name"), F.inline(F.array(_entry(check, severity, violations))))
 
 
 def check_full_duplicates(df: DataFrame, table: str) -> DataFrame:
@@ -214,26 +224,11 @@ def check_ranges(df: DataFrame, table: str, ranges: Mapping[str, tuple[float, fl
     for c, (low, high) in ranges.items():
         value = F.col(c).try_cast("double")
         counts += [F.count_if(value < low).alias(f"{c}_below"), F.count_if(value > high).alias(f"{c}_above")]
-    row = df.agg(*counts)
-    checks = F.array(
-        *[
-            F.struct(
-                F.lit(f"range_{c}").alias("check_name"),
-                F.col(f"{c}_below").alias("below_min"),
-                F.col(f"{c}_above").alias("above_max"),
-            )
-            for c in ranges
-        ]
-    )
-    flat = row.select(F.inline(checks))
-    n = F.col("below_min") + F.col("above_max")
-    return flat.select(
-        F.lit(table).alias("table_name"),
-        "check_name",
-        F.when(n > 0, F.lit(ERROR)).otherwise(F.lit(PASS)).alias("severity"),
-        n.alias("violations"),
-        F.concat(F.col("below_min").cast("string"), F.lit(" below, "), F.col("above_max").cast("string"), F.lit(" above")).alias("detail"),
-    )
+    checks = []
+    for c in ranges:
+        below, above = F.col(f"{c}_below"), F.col(f"{c}_above")
+        checks.append(_entry(f"range_{c}", ERROR, below + above, _range_detail(below, above)))
+    return df.agg(*counts).select(F.lit(table).alias("table_name"), F.inline(F.array(*checks)))
 
 
 def unexpected_values(df: DataFrame, table: str, allowed: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -297,18 +292,74 @@ def profile_categorical(df: DataFrame, table: str, top: int = 5) -> DataFrame:
     return best.join(unique, "column_name").withColumn("table_name", F.lit(table))
 
 
-def validate_table(df: DataFrame | None, table: str, expected: Expectation, spark: SparkSession) -> DataFrame:
-    """All checks of one table. A missing table is one ERROR row."""
+def table_facts(df: DataFrame | None, table: str, expected: Expectation, spark: SparkSession) -> DataFrame:
+    """One row per table: size, missing cells and all checks as an array.
+
+    The table is read once. Equal rows are counted first, which the duplicate
+    check needs anyway; every other fact is a sum or a distinct count over the
+    distinct rows. A missing table is one ERROR.
+    """
     if df is None:
-        return spark.createDataFrame([(table, "table_missing", ERROR, 1, "")], CHECK_SCHEMA)
-    parts = [check_schema(df, table, expected.columns), check_full_duplicates(df, table)]
-    parts += [check_unique(df, table, c) for c in expected.unique if c in df.columns]
-    parts += [p for p in (check_ranges(df, table, expected.ranges), check_allowed(df, table, expected.allowed)) if p]
-    return union_all(parts)
+        checks = F.array(_entry("table_missing", ERROR, F.lit(1)))
+        return spark.range(1).select(
+            F.lit(table).alias("table_name"),
+            F.lit(0).cast("long").alias("n_rows"),
+            F.lit(0).alias("n_columns"),
+            F.lit(0).cast("long").alias("missing_cells"),
+            checks.alias("checks"),
+        )
+    names = [f"_c{i}" for i in range(len(df.columns))]
+    at = dict(zip(df.columns, names, strict=True))
+    copies = df.toDF(*names).groupBy(*names).agg(F.count("*").alias("_n"))
+    n = F.col("_n")
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    unique = [c for c in expected.unique if c in at]
+    ranges = {c: r for c, r in expected.ranges.items() if c in at}
+    allowed = {c: v for c, v in expected.allowed.items() if c in at}
+    facts = [F.coalesce(F.sum(n), F.lit(0)).alias("_rows"), F.count("*").alias("_distinct")]
+    missing = reduce(Column.__add__, [F.col(c).isNull().cast("long") for c in names])
+    facts.append(F.coalesce(F.sum(missing * n), F.lit(0)).alias("_missing"))
+    for c in unique:
+        key = F.col(at[c])
+        values = F.count_distinct(key) + F.coalesce(F.max(key.isNull().cast("long")), F.lit(0))
+        facts.append(values.alias(f"_keys{at[c]}"))
+    for c, (low, high) in ranges.items():
+        value = F.col(at[c]).try_cast("double")
+        facts += [rows_where(value < low).alias(f"_below{at[c]}"), rows_where(value > high).alias(f"_above{at[c]}")]
+    for c, values in allowed.items():
+        value = F.col(at[c])
+        facts.append(F.count_distinct(F.when(~value.isin(list(values)), value)).alias(f"_extra{at[c]}"))
+    row = copies.agg(*facts)
+    checks = [_entry(name, severity, F.lit(count), F.lit(detail)) for name, severity, count, detail in _schema_issues(df, expected.columns)]
+    checks.append(_entry("full_row_duplicates", WARNING, F.col("_rows") - F.col("_distinct")))
+    checks += [_entry(f"duplicate_key_{c}", ERROR, F.col("_rows") - F.col(f"_keys{at[c]}")) for c in unique]
+    for c in ranges:
+        below, above = F.col(f"_below{at[c]}"), F.col(f"_above{at[c]}")
+        checks.append(_entry(f"range_{c}", ERROR, below + above, _range_detail(below, above)))
+    checks += [_entry(f"allowed_values_{c}", WARNING, F.col(f"_extra{at[c]}")) for c in allowed]
+    return row.select(
+        F.lit(table).alias("table_name"),
+        F.col("_rows").cast("long").alias("n_rows"),
+        F.lit(len(names)).alias("n_columns"),
+        F.col("_missing").cast("long").alias("missing_cells"),
+        F.array(*checks).alias("checks"),
+    )
+
+
+def facts_of(
+    tables: Mapping[str, DataFrame | None], expectations: Mapping[str, Expectation], spark: SparkSession
+) -> DataFrame:
+    return union_all([table_facts(tables.get(name), name, spec, spark) for name, spec in expectations.items()])
 
 
-def validate(tables: Mapping[str, DataFrame | None], expectations: Mapping[str, Expectation], spark) -> DataFrame:
-    return union_all([validate_table(tables.get(name), name, spec, spark) for name, spec in expectations.items()])
+def validate(
+    tables: Mapping[str, DataFrame | None], expectations: Mapping[str, Expectation], spark: SparkSession
+) -> DataFrame:
+    """All checks of all tables, one row each."""
+    return facts_of(tables, expectations, spark).select("table_name", F.inline("checks"))
 
 
 def worst_severity(severity: Column) -> Column:
@@ -321,16 +372,25 @@ def table_status(checks: DataFrame) -> DataFrame:
     return checks.groupBy("table_name").agg(worst_severity(F.col("severity")).alias("overall_status"))
 
 
-def quality_summary(checks: DataFrame, sizes: DataFrame) -> DataFrame:
+def quality_summary(facts: DataFrame) -> DataFrame:
     """One row per table: size, completeness, duplicates, checks by severity and status."""
-    per_table = checks.groupBy("table_name").agg(
-        F.max(F.when(F.col("check_name") == "full_row_duplicates", F.col("violations"))).alias("full_duplicates"),
-        F.count_if(F.col("severity") == PASS).alias("n_pass"),
-        F.count_if(F.col("severity") == WARNING).alias("n_warning"),
-        F.count_if(F.col("severity") == ERROR).alias("n_error"),
-        worst_severity(F.col("severity")).alias("overall_status"),
+
+    def having(severity: str) -> Column:
+        return F.size(F.filter("checks", lambda c: c["severity"] == severity)).cast("long")
+
+    dupes = F.filter("checks", lambda c: c["check_name"] == "full_row_duplicates")
+    cells = F.col("n_rows") * F.col("n_columns")
+    return facts.select(
+        "table_name",
+        F.get(dupes, F.lit(0))["violations"].alias("full_duplicates"),
+        having(PASS).alias("n_pass"),
+        having(WARNING).alias("n_warning"),
+        having(ERROR).alias("n_error"),
+        F.when(having(ERROR) > 0, F.lit(ERROR)).when(having(WARNING) > 0, F.lit(WARNING)).otherwise(F.lit(PASS)).alias("overall_status"),
+        "n_rows",
+        "n_columns",
+        percent(cells - F.col("missing_cells"), cells).alias("completeness_pct"),
     )
-    return per_table.join(sizes.drop("missing_cells"), "table_name", "left")
 
 
 def open_issues(checks: DataFrame) -> DataFrame:

@@ -40,10 +40,12 @@ def train_grid(interactions: DataFrame, train: DataFrame, min_categories: int =
         .filter(F.col("_n") >= min_categories)
         .select("customer_unique_id")
     )
-    return (
-        train.join(qualified, "customer_unique_id", "left_semi")
-        .groupBy("customer_unique_id", "category_english")
-        .agg(mean_of_tenths(F.col("rating")).alias("rating"))
+    return category_grid(train.join(qualified, "customer_unique_id", "left_semi"))
+
+
+def category_grid(rated: DataFrame) -> DataFrame:
+    return rated.groupBy("customer_unique_id", "category_english").agg(
+        mean_of_tenths(F.col("rating")).alias("rating")
     )
 
 

@@ -275,8 +275,7 @@ def dq_status(shop: Shop) -> DataFrame:
 
 @query
 def dq_summary(shop: Shop) -> DataFrame:
-    sizes = quality.union_all([quality.completeness(df, t) for t, df in shop.sources.items()])
-    return quality.quality_summary(_checks(shop), sizes)
+    return quality.quality_summary(quality.facts_of(shop.sources, SPECS, shop.spark))
 
 
 @query
@@ -613,7 +612,8 @@ def asof_snapshot(shop: Shop) -> DataFrame:
 
 @query
 def training_set(shop: Shop) -> DataFrame:
-    return store.training_set(shop.interaction_features, shop.user_features)
+    # Of the user features only the number of categories is computed.
+    return store.training_set(shop.interaction_features, features.user_aggregates(shop.lines))
 
 
 @query
@@ -664,7 +664,7 @@ def train_test_split(shop: Shop) -> DataFrame:
 
 @query
 def train_grid(shop: Shop) -> DataFrame:
-    return shop.model_grid
+    return recommend.train_grid(shop.training, shop.train)
 
 
 @query

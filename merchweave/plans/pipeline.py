@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchweave.operators import cleaning, features, transactions
-from merchweave.operators.recommend import train_grid, train_test_split
+from merchweave.operators.recommend import category_grid, train_test_split
 from merchweave.session import configure, shared_dir, staged
 from merchweave.sources import roles, store
 
@@ -17,8 +17,8 @@ from merchweave.sources import roles, store
 class Shop:
     """Frames over one folder of tables. Nothing runs until a frame is used.
 
-    ``training`` and ``model_grid`` are written once per instance, like the
-    training set a model is fitted on.
+    ``rated`` and ``model_grid`` are written once per instance, like the training
+    set and the grid a model is fitted on.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, one_hot: list[str] | None = None):
@@ -134,9 +134,8 @@ class Shop:
     @cached_property
     def training(self) -> DataFrame:
         """Interactions of users with at least two categories, labelled train or test."""
-        users = transactions.multi_category_users(self.rated, 1)
-        rows = store.training_set(self.rated, users)
-        return staged(train_test_split(rows), "training")
+        users = transactions.multi_category_users(self.rated)
+        return train_test_split(store.training_set(self.rated, users))
 
     @cached_property
     def train(self) -> DataFrame:
@@ -148,4 +147,5 @@ class Shop:
 
     @cached_property
     def model_grid(self) -> DataFrame:
-        return staged(train_grid(self.training, self.train), "grid")
+        """The training set holds qualified users only, so the grid needs no second check."""
+        return staged(category_grid(self.train), "grid")

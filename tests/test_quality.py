@@ -54,6 +54,10 @@ def test_empty_table(spark):
     assert q.check_full_duplicates(empty, "t").first().violations == 0
     assert q.check_unique(empty, "t", "k").first().severity == "PASS"
     assert q.check_ranges(empty, "t", {"n": (0, 1)}).first().violations == 0
+    spec = q.Expectation(["k", "n"], unique=["k"], ranges={"n": (0, 1)}, allowed={"k": ["x"]})
+    facts = q.table_facts(empty, "t", spec, spark)
+    assert {r.severity for r in facts.selectExpr("inline(checks)").collect()} == {"PASS"}
+    assert q.quality_summary(facts).first().completeness_pct == 0.0
     assert q.check_allowed(empty, "t", {"k": ["x"]}).first().severity == "PASS"
     assert q.profile_numeric(empty, "t").first().median is None
     assert q.profile_categorical(empty, "t").count() == 0
@@ -64,14 +68,30 @@ def test_status_summary_and_gate(spark, table):
     checks = q.validate({"t": table, "gone": None}, spec, spark)
     status = {r.table_name: r.overall_status for r in q.table_status(checks).collect()}
     assert status == {"t": "ERROR", "gone": "ERROR"}
-    summary = {r.table_name: r for r in q.quality_summary(checks, q.completeness(table, "t")).collect()}
+    summary = {r.table_name: r for r in q.quality_summary(q.facts_of({"t": table}, spec, spark)).collect()}
     assert (summary["t"].n_pass, summary["t"].n_warning, summary["t"].n_error, summary["t"].full_duplicates) == (1, 1, 1, 1)
+    assert (summary["t"].n_rows, summary["t"].completeness_pct, summary["gone"].n_error) == (6, 77.78, 1)
     assert q.open_issues(checks).count() == 3
     with pytest.raises(q.QualityGateError, match="gone: table_missing"):
         q.quality_gate(checks)
     q.quality_gate(q.validate({"t": table}, {"t": q.Expectation(["k", "n", "v"])}, spark))
 
 
+def test_one_pass_equals_single_checks(spark, table, rows):
+    spec = q.Expectation(["k", "n", "w"], unique=["k", "v"], ranges={"n": (1, 8)}, allowed={"v": ["x"]})
+    single = q.union_all(
+        [
+            q.check_schema(table, "t", spec.columns),
+            q.check_full_duplicates(table, "t"),
+            q.check_unique(table, "t", "k"),
+            q.check_unique(table, "t", "v"),
+            q.check_ranges(table, "t", spec.ranges),
+            q.check_allowed(table, "t", spec.allowed),
+        ]
+    )
+    assert rows(q.validate({"t": table}, {"t": spec}, spark)) == rows(single)
+
+
 def test_constraints(spark):
     users = spark.createDataFrame([(1, "a"), (1, None), (2, "b")], "u int, x string")
     pairs = spark.createDataFrame([(1,), (3,), (None,)], "u int")
