@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchweave.session import staged
 
@@ -31,8 +32,10 @@ def running_total(
     """Add the weight of all earlier rows of the group, and the group's weight.
 
     ``order`` must be unique within a group. A group of any size is spread over
-    as many slices as its share of the rows.
+    as many slices as its share of the rows. Whole weights give whole totals.
     """
+    number = "double" if isinstance(df.schema[weight].dataType, T.DoubleType) else "long"
+    zero = F.lit(0).cast(number)
 
     def direction(name: str) -> Column:
         return F.col(name).desc() if name in descending else F.col(name).asc()
@@ -43,13 +46,13 @@ def running_total(
         ),
         "slices",
     )
-    sizes = slices.groupBy(*group, "_slice").agg(F.sum(weight).cast("long").alias("_size"))
+    sizes = slices.groupBy(*group, "_slice").agg(F.sum(weight).cast(number).alias("_size"))
     by_group = W.partitionBy(*[F.col(g) for g in group])
     offsets = sizes.select(
         *[F.col(g).alias(f"_g_{g}") for g in group],
         F.col("_slice").alias("_s"),
         F.coalesce(
-            F.sum("_size").over(by_group.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+            F.sum("_size").over(by_group.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)), zero
         ).alias("_offset"),
         F.sum("_size").over(by_group).alias(group_total),
     )
@@ -57,12 +60,12 @@ def running_total(
     for g in group:
         matches = matches & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
     inside = W.partitionBy(*group, "_slice").orderBy(*[direction(o) for o in order])
-    earlier = F.coalesce(F.sum(weight).over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    earlier = F.coalesce(F.sum(weight).over(inside.rowsBetween(W.unboundedPreceding, -1)), zero)
     return (
         slices.withColumn("_earlier", earlier)
         .join(offsets, matches, "inner")
-        .withColumn(total_before, (F.col("_offset") + F.col("_earlier")).cast("long"))
-        .withColumn(group_total, F.col(group_total).cast("long"))
+        .withColumn(total_before, (F.col("_offset") + F.col("_earlier")).cast(number))
+        .withColumn(group_total, F.col(group_total).cast(number))
         .drop("_slice", "_s", "_offset", "_earlier", "_size", *[f"_g_{g}" for g in group])
     )
 

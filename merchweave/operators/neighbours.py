@@ -117,6 +117,30 @@ def _arrow_type(data_type: T.DataType) -> pa.DataType:
     }[data_type]
 
 
+def nearest_owners(found: DataFrame, owners: DataFrame, keep: int) -> DataFrame:
+    """The ``keep`` best owners per query from (query_id, profile_id, similarity).
+
+    ``owners`` has each profile's first ``keep`` owners in order. Gives (query_id,
+    owner, similarity, place).
+    """
+    by_query = W.partitionBy("query_id")
+    best = found.withColumn(
+        "_place", F.row_number().over(by_query.orderBy(F.desc("similarity"), "profile_id"))
+    ).filter(F.col("_place") <= keep)
+    listed = best.drop("_place").join(owners, "profile_id")
+    # Profiles behind ``keep`` better owners cannot contribute.
+    through = F.sum(F.size("owners")).over(
+        by_query.orderBy(F.desc("similarity")).rangeBetween(W.unboundedPreceding, W.currentRow)
+    )
+    level = F.sum(F.size("owners")).over(W.partitionBy("query_id", "similarity"))
+    needed = listed.withColumn("_better", through - level).filter(F.col("_better") < keep)
+    return (
+        needed.select("query_id", "similarity", F.explode("owners").alias("owner"))
+        .withColumn("place", F.row_number().over(by_query.orderBy(F.desc("similarity"), "owner")))
+        .filter(F.col("place") <= keep)
+    )
+
+
 def nearest(queries: DataFrame, profiles: Profiles) -> DataFrame:
     """The ``keep`` nearest owners of each query.
 
@@ -192,24 +216,11 @@ def nearest(queries: DataFrame, profiles: Profiles) -> DataFrame:
             f"query_id {query_sql}, profile_id {owner_sql}, similarity double",
         )
     )
-    by_query = W.partitionBy("query_id")
-    best = found.withColumn(
-        "_place", F.row_number().over(by_query.orderBy(F.desc("similarity"), "profile_id"))
-    ).filter(F.col("_place") <= keep)
-    owners = best.join(profiles.table.select("profile_id", "owners"), "profile_id")
-    # Profiles behind ``keep`` better owners cannot contribute.
-    through = F.sum(F.size("owners")).over(
-        by_query.orderBy(F.desc("similarity")).rangeBetween(W.unboundedPreceding, W.currentRow)
-    )
-    level = F.sum(F.size("owners")).over(W.partitionBy("query_id", "similarity"))
-    needed = owners.withColumn("_better", through - level).filter(F.col("_better") < keep)
-    ranked = needed.select("query_id", "similarity", F.explode("owners").alias("owner")).withColumn(
-        "_place", F.row_number().over(by_query.orderBy(F.desc("similarity"), "owner"))
-    )
+    ranked = nearest_owners(found, profiles.table.select("profile_id", "owners"), keep)
     lists = (
-        ranked.filter(F.col("_place") <= keep)
-        .groupBy("query_id")
-        .agg(F.array_sort(F.collect_list(F.struct("_place", "owner", "similarity"))).alias("_found"))
+        ranked.groupBy("query_id").agg(
+            F.array_sort(F.collect_list(F.struct("place", "owner", "similarity"))).alias("_found")
+        )
     )
     none = F.array().cast(f"array<struct<owner:{owner_sql},similarity:double>>")
     own = F.coalesce(

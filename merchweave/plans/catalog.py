@@ -21,6 +21,7 @@ from merchweave.functions.scalars import (
 )
 from merchweave.operators import (
     cleaning,
+    corating,
     eda,
     features,
     metrics,
@@ -879,6 +880,17 @@ def hybrid_recs(shop: Shop) -> DataFrame:
     return round_doubles(ratings.hybrid_recommendations(shop.training), 6)
 
 
+@query
+def item_neighbours(shop: Shop) -> DataFrame:
+    """Nearest products by common raters, over all interactions."""
+    return corating.item_neighbours(shop.rated)
+
+
+@query
+def item_knn_rating(shop: Shop) -> DataFrame:
+    return round_doubles(_as_predictions(corating.predict_from_neighbours(shop.test, shop.train)), 6)
+
+
 @query
 def als_nonneg(shop: Shop) -> DataFrame:
     return ratings.factor_model(shop.train, shop.test)

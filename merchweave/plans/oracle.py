@@ -980,6 +980,38 @@ parts AS (
 total AS (SELECT customer_unique_id, product_id, round(sum(part), 9) AS score FROM parts GROUP BY 1, 2)
 SELECT customer_unique_id, product_id, {r('score', 6)} AS score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_unique_id ORDER BY score DESC, product_id) AS rank FROM total) WHERE rank <= 10"""
+
+
+def _item_knn(source: str) -> str:
+    return f"""
+SELECT i, j, sim, place FROM (
+  SELECT a.i, b.i AS j, round(sum(a.w * b.w), 9) AS sim,
+         row_number() OVER (PARTITION BY a.i ORDER BY round(sum(a.w * b.w), 9) DESC, b.i) AS place
+  FROM {source} a JOIN {source} b ON a.u = b.u AND a.i <> b.i GROUP BY a.i, b.i) WHERE place <= 40"""
+
+
+def _item_vec(where: str) -> str:
+    return f"""
+SELECT product_id AS i, customer_unique_id AS u, rating / sqrt(sum(rating * rating) OVER (PARTITION BY product_id)) AS w
+FROM {where} rating > 0"""
+
+
+VIEWS["all_item_vec"] = _item_vec("rated WHERE")
+VIEWS["train_item_vec"] = _item_vec("training WHERE split = 'train' AND")
+VIEWS["all_item_knn"] = _item_knn("all_item_vec")
+VIEWS["train_item_knn"] = _item_knn("train_item_vec")
+SQL["item_neighbours"] = "SELECT i AS product_id, j AS neighbour_id, sim AS similarity, CAST(place AS INTEGER) AS place FROM all_item_knn"
+SQL["item_knn_rating"] = f"""
+WITH test AS (SELECT * FROM training WHERE split = 'test'),
+est AS (
+  SELECT t.customer_unique_id AS uid, t.product_id AS iid, sum(n.sim) AS weight, sum(n.sim * coalesce(m.rating, 0.0)) AS top
+  FROM test t JOIN train_item_knn n ON t.product_id = n.i
+  LEFT JOIN training m ON m.split = 'train' AND m.customer_unique_id = t.customer_unique_id AND m.product_id = n.j GROUP BY 1, 2),
+um AS (SELECT customer_unique_id, {tenths_mean('rating')} AS m FROM training WHERE split = 'train' AND rating > 0 GROUP BY 1)
+SELECT t.customer_unique_id AS uid, t.product_id AS iid, t.rating AS true_rating,
+       {r("greatest(1.0, least(5.0, CASE WHEN e.weight > 1e-9 THEN e.top / (e.weight + 1e-9::DOUBLE) ELSE coalesce(um.m, (SELECT m FROM train_mean)) END))", 6)} AS pred_rating
+FROM test t LEFT JOIN est e ON e.uid = t.customer_unique_id AND e.iid = t.product_id
+LEFT JOIN um ON um.customer_unique_id = t.customer_unique_id"""
 SQL["model_report"] = "SELECT * FROM results"
 SQL["best_model"] = """
 SELECT (SELECT model FROM results ORDER BY ndcg DESC, model LIMIT 1) AS best_ranking_model, max(ndcg) AS best_ndcg,
