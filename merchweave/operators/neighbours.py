@@ -32,6 +32,7 @@ from merchweave.session import staged
 
 BLOCK_ROWS = 2048
 QUERIES_PER_LANE = 1_000_000
+ROWS_PER_TASK = 256
 
 
 @dataclass(frozen=True)
@@ -141,6 +142,11 @@ def nearest_owners(found: DataFrame, owners: DataFrame, keep: int) -> DataFrame:
     )
 
 
+def _tasks(profiles: Profiles, most: int) -> int:
+    """Tasks for the block work, which is heavy for its bytes and must not be merged by size."""
+    return max(1, min(most, -(-profiles.table.count() // ROWS_PER_TASK)))
+
+
 def nearest(queries: DataFrame, profiles: Profiles) -> DataFrame:
     """The ``keep`` nearest owners of each query.
 
@@ -149,7 +155,7 @@ def nearest(queries: DataFrame, profiles: Profiles) -> DataFrame:
     """
     spark = queries.sparkSession
     keep = profiles.keep
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = _tasks(profiles, int(spark.conf.get("spark.sql.shuffle.partitions")))
     query_type = queries.schema["query_id"].dataType
     owner_type = profiles.table.schema["profile_id"].dataType
     query_sql, owner_sql = query_type.simpleString(), owner_type.simpleString()

@@ -41,14 +41,12 @@ def shared_dir(spark: SparkSession) -> str:
 
     A machine-local folder is used only for a local master with no folder set.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.getCheckpointDir():
-        folder = spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="merchweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="merchweave-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 

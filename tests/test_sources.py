@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from merchweave.operators import features, text
 from merchweave.session import shared_dir, staged
-from merchweave.sources import files, lake, store
+from merchweave.sources import files, lake, roles, store
 from merchweave.streaming import events
 
 
@@ -121,6 +122,13 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     assert df.count() == 3 and folder in df.inputFiles()[0]
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the generated tables")
+def test_declared_schemas_match_the_files(spark):
+    for name in roles.SCHEMAS:
+        path = f"/root/testdata/sf0.001/{name}.parquet"
+        assert roles.read(spark, "/root/testdata/sf0.001", name).schema == spark.read.parquet(path).schema
+
+
 # ---- feature store ----
 
 
