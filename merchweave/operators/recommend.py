@@ -155,9 +155,14 @@ def unseen_items(targets: DataFrame, seen: DataFrame, items: DataFrame, key: lis
     """The first ``k`` items of each target's group that the target has not seen.
 
     ``key`` identifies a target and includes ``group``, the columns an item list
-    belongs to. Each target produces k places; nothing is crossed.
+    belongs to. Each target produces k places; nothing is crossed. All targets of a
+    group ask for the same few places, so only items up to the last place anybody
+    needs take part: as a rule few enough for Spark to broadcast, and otherwise the
+    adaptive skew join splits the targets.
     """
     gaps = skipped_places(seen, key, k)
+    skipped = F.aggregate("_gaps", F.lit(0).cast("long"), lambda total, g: total + g["_n"])
+    deepest = gaps.agg(F.coalesce(F.max(skipped), F.lit(0))).scalar()
     step = F.aggregate(
         F.filter(F.coalesce("_gaps", F.array().cast("array<struct<_gap:bigint,_n:bigint>>")), lambda g: g["_gap"] < F.col("_j")),
         F.lit(0).cast("long"),
@@ -169,15 +174,15 @@ def unseen_items(targets: DataFrame, seen: DataFrame, items: DataFrame, key: lis
         .withColumn("item_place", F.col("_j") + step)
         .drop("_gaps", "_j")
     )
-    return placed.join(items, [*group, "item_place"])
+    return placed.join(items.filter(F.col("item_place") <= deepest + k), [*group, "item_place"])
 
 
-def _final_list(scored: DataFrame, key: str, n_items: int) -> DataFrame:
+def _final_list(scored: DataFrame, key: str, n_items: int, *also: str) -> DataFrame:
     order = W.partitionBy(key).orderBy(F.desc("score"), F.desc("share_pct"), "product_id")
     return (
         scored.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= n_items)
-        .select(key, "rank", "product_id", "category_english", round_half_even(F.col("score"), 4).alias("score"))
+        .select(key, "rank", "product_id", "category_english", round_half_even(F.col("score"), 4).alias("score"), *also)
     )
 
 
@@ -278,8 +283,7 @@ def recommend_categories(
             targets, seen.drop("product_id"), items, ["request_id", "category_english"], ["category_english"], PER_CATEGORY
         )
     scored = found.withColumn("score", F.col("mean_rating") + F.col("share_pct") / 100)
-    kinds = targets.select("request_id", "recommendation_type").distinct()
-    return _final_list(scored, "request_id", n_items).join(kinds, "request_id")
+    return _final_list(scored, "request_id", n_items, "recommendation_type")
 
 
 def category_confidence(requests: DataFrame, grid: DataFrame, top: int = 5) -> DataFrame:
