@@ -82,11 +82,12 @@ def cell_bounds(queries: np.ndarray) -> np.ndarray:
 def thresholds(k: int, id_type: pa.DataType):
     """Kernel: lower bound of the k-th similarity from one block, and the cells worth a visit.
 
-    Gives one block of queries per cell to visit.
+    ``cell_groups`` names the group of cells each category's cell belongs to, -1 for
+    cells without candidates. Gives one block of queries per group to visit.
     """
     schema = pa.schema(
         [
-            ("cell", pa.int32()),
+            ("cell_group", pa.int32()),
             ("q_ids", pa.list_(id_type)),
             ("q_floors", pa.list_(pa.float64())),
             ("q_sizes", pa.list_(pa.int32())),
@@ -105,12 +106,15 @@ def thresholds(k: int, id_type: pa.DataType):
                 floors = kth_similarity(sims, _numbers(batch, "p_copies", row), k)
                 visits = cell_bounds(queries) >= floors[:, None] - SLACK
                 ids = _values(batch, "q_ids", row)
+                groups = _numbers(batch, "cell_groups", row)
                 out = {name: [] for name in schema.names}
-                for cell in np.flatnonzero(visits.any(axis=0)):
-                    chosen = np.flatnonzero(visits[:, cell])
+                for group in np.unique(groups[groups >= 0]):
+                    chosen = np.flatnonzero(visits[:, groups == group].any(axis=1))
+                    if not len(chosen):
+                        continue
                     part = queries[chosen]
                     at_row, at_cat = np.nonzero(part)
-                    out["cell"].append(int(cell))
+                    out["cell_group"].append(int(group))
                     out["q_ids"].append(ids.take(pa.array(chosen)))
                     out["q_floors"].append(floors[chosen])
                     out["q_sizes"].append(np.bincount(at_row, minlength=len(chosen)).astype(np.int32))
@@ -123,30 +127,67 @@ def thresholds(k: int, id_type: pa.DataType):
     return run
 
 
-def best_in_block(k: int, query_type: pa.DataType, owner_type: pa.DataType):
-    """Kernel: per query the best k candidates of the block at or above its floor."""
+class _Best:
+    """The best k candidates so far of every query of one block."""
+
+    def __init__(self, ids: pa.Array, queries: np.ndarray, floors: np.ndarray, k: int):
+        self.ids, self.queries, self.floors, self.k = ids, queries, floors.copy(), k
+        self.rows = np.empty(0, dtype=np.int64)
+        self.sims = np.empty(0)
+        self.owners: np.ndarray | None = None
+
+    def meet(self, owners: np.ndarray, block: np.ndarray) -> None:
+        sims = np.round(self.queries @ block.T, DIGITS)
+        rows, columns = np.nonzero((sims >= self.floors[:, None]) & (sims > 0))
+        found, names = sims[rows, columns], owners[columns]
+        if self.owners is not None:
+            rows, found = np.concatenate([self.rows, rows]), np.concatenate([self.sims, found])
+            names = np.concatenate([self.owners, names])
+        order = np.lexsort((names, -found, rows))
+        rows, found, names = rows[order], found[order], names[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+        last = place == self.k - 1
+        self.floors[rows[last]] = np.maximum(self.floors[rows[last]], found[last])
+        keep = place < self.k
+        self.rows, self.sims, self.owners = rows[keep], found[keep], names[keep]
+
+    def batch(self, schema: pa.Schema) -> pa.RecordBatch:
+        query_type, owner_type = schema.field("query_id").type, schema.field("profile_id").type
+        return pa.RecordBatch.from_arrays(
+            [
+                self.ids.take(pa.array(self.rows)).cast(query_type),
+                pa.array(self.owners.tolist(), type=owner_type),
+                pa.array(self.sims),
+            ],
+            schema=schema,
+        )
+
+
+def best_of_blocks(k: int, query_type: pa.DataType, owner_type: pa.DataType):
+    """Kernel: per query the best k candidates at or above its floor.
+
+    Rows with the same block of queries follow each other. Only one such block is
+    held at a time, and its floors rise as candidate blocks pass.
+    """
     schema = pa.schema([("query_id", query_type), ("profile_id", owner_type), ("similarity", pa.float64())])
 
     def run(batches):
+        current, best = None, None
         for batch in batches:
             for row in range(batch.num_rows):
                 width = batch.column("n_categories")[row].as_py()
-                sims = np.round(_matrix(batch, "q", row, width) @ _matrix(batch, "p", row, width).T, DIGITS)
-                floors = _numbers(batch, "q_floors", row)
-                queries, candidates = np.nonzero((sims >= floors[:, None]) & (sims > 0))
-                found = sims[queries, candidates]
-                # Candidates are stored in id order, so their position breaks ties by id.
-                order = np.lexsort((candidates, -found, queries))
-                queries, candidates, found = queries[order], candidates[order], found[order]
-                starts = np.searchsorted(queries, queries, side="left")
-                keep = np.arange(len(queries)) - starts < k
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _values(batch, "q_ids", row).take(pa.array(queries[keep])).cast(query_type),
-                        _values(batch, "p_ids", row).take(pa.array(candidates[keep])).cast(owner_type),
-                        pa.array(found[keep]),
-                    ],
-                    schema=schema,
-                )
+                key = (batch.column("cell_group")[row].as_py(), batch.column("q_first")[row].as_py())
+                if key != current:
+                    if best is not None:
+                        yield best.batch(schema)
+                    current = key
+                    best = _Best(
+                        _values(batch, "q_ids", row), _matrix(batch, "q", row, width), _numbers(batch, "q_floors", row), k
+                    )
+                owners = _values(batch, "p_ids", row)
+                names = np.array(owners.to_pylist(), dtype=str) if pa.types.is_string(owner_type) else owners.to_numpy()
+                best.meet(names, _matrix(batch, "p", row, width))
+        if best is not None:
+            yield best.batch(schema)
 
     return run

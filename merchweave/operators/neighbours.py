@@ -6,12 +6,14 @@ Plan, for any number of owners (users, or products described by terms):
    a third of all users with one and the same profile cost one comparison. Each
    profile keeps its first k owners by id, which is all a top-k can use.
 2. Profiles are placed by their largest category (the *cell*) and cut by hash
-   into blocks of bounded size.
+   into blocks of bounded size. Cells too small for a block of their own are
+   taken together.
 3. Each query meets one block of its own cell. That gives a floor under its k-th
    similarity. A cell whose best possible cosine is below the floor is skipped;
    this loses nothing, because the bound holds for every vector of the cell.
-4. Query blocks meet the blocks of the cells left over, in Arrow batches of
-   bounded size, and only the best k per query leave a task.
+4. Query blocks meet the blocks of the cells left over, one pair of blocks at a
+   time. A task keeps the best k per query, raises the floor as it goes, and
+   gives out nothing else.
 
 Similarities are rounded to nine digits. Ties go to the smaller owner id. Owners
 without a shared category have similarity 0 and fill up lists that are too short.
@@ -27,11 +29,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merchweave.functions.cosine import best_in_block, thresholds
+from merchweave.functions.cosine import best_of_blocks, thresholds
 from merchweave.session import staged
 
 BLOCK_ROWS = 2048
-QUERIES_PER_LANE = 1_000_000
 ROWS_PER_TASK = 256
 
 
@@ -147,6 +148,13 @@ def _tasks(profiles: Profiles, most: int) -> int:
     return max(1, min(most, -(-profiles.table.count() // ROWS_PER_TASK)))
 
 
+def _cell_groups(candidates: DataFrame, width: Column) -> DataFrame:
+    """(cell, cell_group, n_profiles): large cells alone, small ones together under the next free number."""
+    sizes = candidates.groupBy("cell").agg(F.count("*").alias("n_profiles"))
+    small = F.col("n_profiles") * 2 < BLOCK_ROWS
+    return sizes.withColumn("cell_group", F.when(small, width).otherwise(F.col("cell")).cast("int"))
+
+
 def nearest(queries: DataFrame, profiles: Profiles) -> DataFrame:
     """The ``keep`` nearest owners of each query.
 
@@ -162,29 +170,36 @@ def nearest(queries: DataFrame, profiles: Profiles) -> DataFrame:
     width = profiles.index.agg(F.count("*").cast("int")).scalar()
 
     candidates = profiles.table.filter(F.size("cats") > 0)
-    cells = candidates.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("n_blocks"))
+    groups = _cell_groups(candidates, width)
+    sizes = groups.groupBy("cell_group").agg(
+        F.ceil(F.sum("n_profiles") / F.lit(BLOCK_ROWS)).cast("int").alias("n_blocks")
+    )
+    # The group of every category's cell, -1 where there is no candidate.
+    lookup = groups.agg(F.map_from_entries(F.collect_list(F.struct("cell", "cell_group")))).scalar()
+    group_list = F.transform(F.sequence(F.lit(0), F.col("n_categories") - 1), lambda c: F.coalesce(F.col("_groups")[c], F.lit(-1)))
     blocks = (
-        candidates.join(cells, "cell")
+        candidates.join(groups.select("cell", "cell_group"), "cell")
+        .join(sizes, "cell_group")
         .withColumn("block", F.pmod(F.xxhash64("profile_id"), F.col("n_blocks")).cast("int"))
-        .repartition(tasks, "cell", "block")
-        .groupBy("cell", "block")
+        .groupBy("cell_group", "block")
         .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(F.col("profile_id").alias("id"), F.size("owners").alias("copies"), "cats", "weights")
-                )
+            F.collect_list(
+                F.struct(F.col("profile_id").alias("id"), F.size("owners").alias("copies"), "cats", "weights")
             ).alias("rows")
         )
-        .select("cell", "block", F.col("rows")["copies"].alias("p_copies"), *_packed(F.col("rows"), "p"))
+        .select("cell_group", "block", F.col("rows")["copies"].alias("p_copies"), *_packed(F.col("rows"), "p"))
     )
-
-    searching = queries.filter(F.size("cats") > 0)
-    loads = searching.groupBy("cell").agg(F.count("*").alias("n_queries"))
-    lanes = searching.agg(F.ceil(F.count("*") / F.lit(QUERIES_PER_LANE)).cast("int")).scalar()
+    # A query whose own cell has no candidate starts at any group.
+    searching = (
+        queries.filter(F.size("cats") > 0)
+        .withColumn("_groups", lookup)
+        .withColumn("cell_group", F.coalesce(F.col("_groups")[F.col("cell")], F.array_min(F.map_values("_groups"))))
+        .drop("_groups")
+    )
+    loads = searching.groupBy("cell_group").agg(F.count("*").alias("n_queries"))
     grouped = (
-        searching.join(loads, "cell")
-        .join(cells, "cell", "left")
-        .withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1)))
+        searching.join(loads, "cell_group")
+        .join(sizes, "cell_group")
         .withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("n_blocks")).cast("int"))
         .withColumn(
             "part",
@@ -192,33 +207,36 @@ def nearest(queries: DataFrame, profiles: Profiles) -> DataFrame:
                 F.xxhash64("query_id", F.lit(1)), F.ceil(F.col("n_queries") / F.col("n_blocks") / F.lit(BLOCK_ROWS))
             ).cast("int"),
         )
-        .repartition(tasks, "cell", "block")
-        .groupBy("cell", "block", "part")
+        .groupBy("cell_group", "block", "part")
         .agg(F.collect_list(F.struct(F.col("query_id").alias("id"), "cats", "weights")).alias("rows"))
-        .select("cell", "block", *_packed(F.col("rows"), "q"))
+        .select("cell_group", "block", "part", *_packed(F.col("rows"), "q"))
     )
     visits = (
-        grouped.join(blocks, ["cell", "block"], "left")
-        .drop("cell", "block")
+        grouped.join(blocks, ["cell_group", "block"])
+        .repartition(tasks, "cell_group", "block", "part")
+        .drop("cell_group", "block", "part")
         .withColumn("n_categories", width)
+        .withColumn("_groups", lookup)
+        .withColumn("cell_groups", group_list)
+        .drop("_groups")
         .mapInArrow(
             thresholds(keep, _arrow_type(query_type)),
-            f"cell int, q_ids array<{query_sql}>, q_floors array<double>, q_sizes array<int>, "
+            f"cell_group int, q_ids array<{query_sql}>, q_floors array<double>, q_sizes array<int>, "
             "q_cats array<int>, q_weights array<double>",
         )
-        .join(cells, "cell")
+        .join(sizes, "cell_group")
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        .withColumn("lane", F.pmod(F.xxhash64(F.element_at("q_ids", 1)), lanes).cast("int"))
+        .withColumn("q_first", F.element_at("q_ids", 1))
         .drop("n_blocks")
     )
-    laned = blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), lanes - 1)))
     found = (
-        visits.repartition(tasks, "cell", "block", "lane")
-        .join(laned.repartition(tasks, "cell", "block", "lane"), ["cell", "block", "lane"])
-        .drop("cell", "block", "lane", "p_copies")
+        visits.join(blocks, ["cell_group", "block"])
+        .drop("block", "p_copies")
         .withColumn("n_categories", width)
+        .repartition(tasks, "cell_group", "q_first")
+        .sortWithinPartitions("cell_group", "q_first")
         .mapInArrow(
-            best_in_block(keep, _arrow_type(query_type), _arrow_type(owner_type)),
+            best_of_blocks(keep, _arrow_type(query_type), _arrow_type(owner_type)),
             f"query_id {query_sql}, profile_id {owner_sql}, similarity double",
         )
     )

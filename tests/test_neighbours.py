@@ -46,10 +46,10 @@ def random_vectors(seed, users, categories, hot):
     return out
 
 
-@pytest.mark.parametrize("seed, hot, keep", [(1, 0.0, 6), (2, 0.4, 6), (3, 0.2, 40)])
-def test_profile_search_equals_all_pairs(spark, monkeypatch, seed, hot, keep):
-    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 7)  # many blocks per cell
-    monkeypatch.setattr(neighbours, "QUERIES_PER_LANE", 50)  # and several lanes
+@pytest.mark.parametrize("seed, hot, keep, block", [(1, 0.0, 6, 7), (2, 0.4, 6, 30), (3, 0.2, 40, 7), (4, 0.1, 6, 2048)])
+def test_profile_search_equals_all_pairs(spark, monkeypatch, seed, hot, keep, block):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", block)  # many blocks per cell
+    monkeypatch.setattr(neighbours, "ROWS_PER_TASK", 16)  # and several tasks
     vectors = random_vectors(seed, 220, 9, hot)
     profiles = neighbours.build_profiles(as_frame(spark, vectors), keep)
     lists = answers(neighbours.nearest(neighbours.profile_queries(profiles), profiles))
