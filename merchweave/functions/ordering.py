@@ -8,6 +8,7 @@ only single-task step works on one row per slice and group.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,8 +17,9 @@ from pyspark.sql import types as T
 
 from merchweave.session import staged
 
-# Largest number of distinct values kept in one exact-percentile buffer.
-SMALL_DOMAIN = 200_000
+# Distinct values for which every task may hold all of them, and for which one task may.
+TINY_DOMAIN = 10_000
+SMALL_DOMAIN = 1_000_000
 
 
 def running_total(
@@ -98,21 +100,26 @@ def ranked_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact interpolating medians as rows (column_name, median).
 
-    Columns with few distinct values are counted by value and go to Spark's exact
-    percentile, which then holds one entry per distinct value. The others are
-    ranked in slices.
+    Spark's exact percentile holds one entry per distinct value. Columns with very
+    few values go there directly, columns with a moderate number are counted by
+    value first, so that each value reaches it once, and the others are ranked in
+    slices.
     """
     if not columns:
         return df.sparkSession.createDataFrame([], "column_name string, median double")
     sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
-    small = [c for c in columns if sizes[c] <= SMALL_DOMAIN]
+    tiny = [c for c in columns if sizes[c] <= TINY_DOMAIN]
+    small = [c for c in columns if TINY_DOMAIN < sizes[c] <= SMALL_DOMAIN]
     large = [c for c in columns if sizes[c] > SMALL_DOMAIN]
     parts = []
+    if tiny:
+        wide = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in tiny])
+        parts.append(wide.unpivot([], tiny, "column_name", "median"))
     if small:
         parts.append(medians_by_count(df, small))
     if large:
         parts.append(medians_by_rank(df, large))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _with_all_names(medians: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -74,18 +74,29 @@ def test_positions_descending_with_null_group(spark):
     assert sorted((r.id, r.position) for r in got.collect()) == [(1, 1), (2, 2), (3, 2), (4, 1)]
 
 
-def test_medians_by_both_ways(spark):
+def test_medians_by_all_ways(spark):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame({"a": rng.normal(size=1001), "b": rng.integers(0, 9, 1001).astype(float)})
     pdf.loc[::7, "a"] = np.nan
     df = spark.createDataFrame(pdf).select(F.nanvl("a", F.lit(None)).alias("a"), "b", F.lit(None).cast("double").alias("c"))
     want = {"a": pdf.a.median(), "b": pdf.b.median(), "c": None}
     small = {r.column_name: r.median for r in ordering.exact_medians(df, ["a", "b", "c"]).collect()}
+    counted = {r.column_name: r.median for r in ordering.medians_by_count(df, ["a", "b", "c"]).collect()}
     ranked = {r.column_name: r.median for r in ordering.medians_by_rank(df, ["a", "b", "c"]).collect()}
     assert small == want
+    assert counted == want
     assert ranked == want
 
 
+def test_medians_choose_a_way_per_column(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "TINY_DOMAIN", 5)
+    monkeypatch.setattr(ordering, "SMALL_DOMAIN", 50)
+    df = spark.range(301).select((F.col("id") % 3).alias("x"), (F.col("id") % 30).alias("y"), F.col("id").alias("z"))
+    got = {r.column_name: r.median for r in ordering.exact_medians(df, ["x", "y", "z"]).collect()}
+    pdf = df.toPandas()
+    assert got == {c: pdf[c].median() for c in "xyz"}
+
+
 def test_ranked_values_give_pandas_ranks(spark):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"id": range(500), "v": rng.integers(0, 40, 500).astype(float)})
