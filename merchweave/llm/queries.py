@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchweave.llm import exact_dedup, mixing, packing, sharding, token_files
+from merchweave.llm import (
+    exact_dedup,
+    fingerprints,
+    line_dedup,
+    mixing,
+    packing,
+    sharding,
+    simhash,
+    token_files,
+    toxicity,
+)
 from merchweave.llm.common import documents
 
 SHARD_BYTES = 1 << 20
@@ -20,6 +30,13 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, chain)
+
+
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -55,3 +72,30 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.new_path(spark)
     token_files.write(documents(spark, sf_dir), path)
     return token_files.summary(spark, path)
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(documents(spark, sf_dir)).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+@query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text("f").alias("fingerprint"),
+        fingerprints.as_text("edited_f").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicate(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
