@@ -84,11 +84,16 @@ class LineRuns:
         return [t for level in self.levels for t in level]
 
     def _merged(self, tables: list[str]) -> DataFrame:
-        return (
-            reduce(DataFrame.unionByName, [self.spark.table(t) for t in tables])
-            .groupBy("key")
-            .agg(F.sum("n_docs").alias("n_docs"), F.max("owner").alias("owner"))
-        )
+        # A full join of tables bucketed and sorted alike is a merge of sorted runs, without a shuffle.
+        merged = self.spark.table(tables[0]).select("key", "n_docs", "owner")
+        for t in tables[1:]:
+            run = self.spark.table(t).select("key", F.col("n_docs").alias("__n"), F.col("owner").alias("__owner"))
+            merged = merged.join(run, "key", "full_outer").select(
+                "key",
+                (F.coalesce("n_docs", F.lit(0)) + F.coalesce("__n", F.lit(0))).alias("n_docs"),
+                F.coalesce("owner", "__owner").alias("owner"),
+            )
+        return merged
 
     def _compact(self, level: int, tables: list[str]) -> None:
         merged = self._write(self._merged(tables))

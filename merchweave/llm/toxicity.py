@@ -8,8 +8,8 @@ A text's features are the character 5-grams of its distinct words, with marks at
 word, so stems count whatever their endings. The chain is fitted on at most ``SAMPLE`` labelled
 documents, those with the smallest hash of their id; on these the ``FEATURES`` grams that tell most
 about any category are chosen by a chi-square count and the models fitted by logistic regression.
-A category's threshold is the one with the best F1 on the out-of-fold probabilities. All documents
-are scored, whole.
+A document is put into a category if its probability is over ``THRESHOLD``. All documents are scored,
+whole.
 
 Labels with a NULL are left out; of repeated labels the largest counts. Without labels, or with one
 class only, a category's probability is its share and nothing is rejected. NULL texts are empty; an
@@ -30,11 +30,13 @@ from pyspark.sql import functions as F
 
 GRAM = 5
 SAMPLE = 20_000
-FEATURES = 2048
+FEATURES = 512
+LEAST_DOCS = 3  # that hold a gram
 FOLDS = 5
 ROUNDS = 120
 RATE = 0.2
 DECAY = 1e-4
+THRESHOLD = 0.5
 WORDS_KEPT = 300_000
 
 CATEGORIES = {"junk": "quality = 0", "toxic": "toxic = 1"}
@@ -104,18 +106,6 @@ def fit(rows: np.ndarray, cols: np.ndarray, earlier: np.ndarray, y: np.ndarray,
     return Model(at[:n_features], at[n_features:-1], float(at[-1]))
 
 
-def threshold(scores: np.ndarray, y: np.ndarray) -> float:
-    """The margin with the best F1, halfway between the two scores around it; no rejection without both classes."""
-    if not y.any() or y.all():
-        return float("inf")
-    order = np.argsort(-scores, kind="stable")
-    s, hits = scores[order], np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-    f1[:-1][s[:-1] == s[1:]] = -1  # no cut between equal scores
-    best = int(f1.argmax())
-    return float((s[best] + s[best + 1]) / 2) if best + 1 < len(s) else float(s[best])
-
-
 @dataclass
 class Chain:
     """A fitted chain; small enough to travel with every task."""
@@ -123,19 +113,16 @@ class Chain:
     categories: list[str]
     features: list[str]
     models: list[Model]
-    thresholds: list[float]  # of the margins
 
     def score(self, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities and decisions, documents by categories."""
         n = len(lists)
         rows = np.repeat(np.arange(n), [len(x) for x in lists])
         cols = np.fromiter((i for x in lists for i in x), np.int64, len(rows))
-        chances, chosen = np.zeros((n, 0)), []
-        for model, least in zip(self.models, self.thresholds, strict=True):
-            margin = model.margin(rows, cols, n, chances)
-            chosen.append(margin > least)
-            chances = np.column_stack([chances, probability(margin)])
-        return chances, np.column_stack(chosen) if chosen else np.zeros((n, 0), bool)
+        chances = np.zeros((n, 0))
+        for model in self.models:
+            chances = np.column_stack([chances, probability(model.margin(rows, cols, n, chances))])
+        return chances, chances > THRESHOLD
 
 
 def labelled_sample(
@@ -189,7 +176,7 @@ def choose_features(rows: DataFrame, names: list[str], most: int) -> list[str]:
     each = max(1, most // max(1, len(names)))
     found: dict[str, None] = {}
     for name, p in zip(names, positive, strict=True):
-        best = counts.filter("n > 1").orderBy(chi_square(name, p).desc(), "gram").limit(each).select("gram")
+        best = counts.filter(F.col("n") >= LEAST_DOCS).orderBy(chi_square(name, p).desc(), "gram").limit(each).select("gram")
         found.update(dict.fromkeys(r[0] for r in best.collect()))
     return list(found)
 
@@ -227,7 +214,7 @@ def train(
     cols = np.concatenate(got["found"].to_list()).astype(np.int64) if n else np.zeros(0, np.int64)
     row_of = np.repeat(np.arange(n), sizes)
     fold = np.arange(n) % FOLDS
-    held_out, models, thresholds = np.zeros((n, 0)), [], []
+    held_out, models = np.zeros((n, 0)), []
     for name in names:
         y = got[name].to_numpy(np.float64) if n else np.zeros(0)
         margins = np.zeros(n)
@@ -238,9 +225,8 @@ def train(
             model = fit(place[row_of[of_seen]], cols[of_seen], held_out[seen], y[seen], len(features))
             margins[~seen] = model.margin(row_of, cols, n, held_out)[~seen]
         models.append(fit(row_of, cols, held_out, y, len(features)))
-        thresholds.append(threshold(margins, y))
         held_out = np.column_stack([held_out, probability(margins)])
-    return Chain(names, features, models, thresholds)
+    return Chain(names, features, models)
 
 
 def score(docs: DataFrame, chain: Chain, id_column: str = "doc_id", text: str = "text") -> DataFrame:
