@@ -169,7 +169,9 @@ def dropped_keys(
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows and columns, ``text`` without the dropped lines, with n_lines (before) and n_dropped."""
     gone = dropped_keys(docs, id_column, text)
-    joined = docs.drop("n_lines", "n_dropped").join(gone, F.col(id_column).eqNullSafe(F.col("__doc")), "left").drop("__doc")
+    # The same join at every size: merged, never one side sent to all.
+    same = F.col(id_column).eqNullSafe(F.col("__doc"))
+    joined = docs.drop("n_lines", "n_dropped").hint("merge").join(gone, same, "left").drop("__doc")
     place, last = joined.columns.index(text), len(joined.columns) - 1
     schema = joined.drop("__gone").schema.add("n_lines", "long").add("n_dropped", "long")
 

@@ -164,4 +164,4 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))
     gone = found.filter(~stays).select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash"))
     same = F.col(id_column).eqNullSafe(F.col("__gone_id")) & (text_hash(text) == F.col("__gone_hash"))
-    return docs.join(gone, same, "left_anti")
+    return docs.join(gone.hint("merge"), same, "left_anti")  # the same join at every size
