@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from merchweave.llm import (
     exact_dedup,
     fingerprints,
+    language_model,
     line_dedup,
     mixing,
     packing,
@@ -67,6 +68,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(documents(spark, sf_dir))
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.new_path(spark)
