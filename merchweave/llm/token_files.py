@@ -41,12 +41,13 @@ BLOCK_IDS = 1024
 PERCENTILE = 90
 SEGMENT = 1 << 18  # ids
 HEAD = 9  # bytes before the packed values
+_POWERS = np.asarray([1 << i for i in range(32)], np.uint32)
 
 
 def pack_block(ids: np.ndarray) -> bytes:
     base = int(ids.min())
     values = (ids - base).astype(np.uint32)
-    need = np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.int64)
+    need = np.searchsorted(_POWERS, values, side="right")  # bits of each value
     at_width = np.bincount(need, minlength=33)
     over = len(values) - np.cumsum(at_width)  # exceptions by width
     chosen = int(np.argmax(over <= len(values) * (100 - PERCENTILE) / 100))

@@ -2,7 +2,7 @@
 
 A byte-level tokenizer first cuts a text into pieces and encodes each on its own. Two cuts are
 certain whatever surrounds them: before a single blank or line feed between two other characters
-(the blank goes with what follows, the line feed stands alone), and between an ASCII letter and
+(the blank goes with what follows, the line feed stands alone), and between a Latin letter and
 ASCII punctuation other than an apostrophe. A text is cut at those places only, and what the
 tokenizers library returns for a piece is kept in a table of bounded size.
 """
@@ -21,7 +21,7 @@ END = 2
 
 # White space other than single blanks and line feeds between two other characters.
 _ODD = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z")
-_PIECE = re.compile(r"[ \n]?(?:[A-Za-z]+(?=[.,;:!?&$%*#|\n])|[^ \n]+)")
+_PIECE = re.compile(r"\n| ?(?:[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[.,;:!?&$%*#|\n])|[^ \n]+)")
 _BREAK = re.compile(r"(?<=\S)([ \n])(?=\S)")
 _encoders: dict[str, Encoder] = {}
 
@@ -59,18 +59,17 @@ class Encoder:
             return self._join([[text]])[0]
         first, blank, rest = text.partition(" ")
         chunks = rest.split(" ") if blank else []
-        new = list(set(chunks).difference(self.chunks))
+        found = list(map(self.chunks.get, chunks))
+        new = list({c for c, v in zip(chunks, found, strict=True) if v is None}) if None in found else []
         if any(map(_ODD.search, new)) or _ODD.search(first) or (blank and not first) or "" in new:
             parts = _BREAK.split(text)
             return self._join([list(chain(parts[:1], map(str.__add__, parts[1::2], parts[2::2])))])[0] if text else b""
-        head, *found = self._join([_PIECE.findall(first), *[_PIECE.findall(" " + c) for c in new]])
-        own = dict(zip(new, found, strict=True))
-        known = self.chunks
-        if own:
-            out = b"".join([head, *[own[c] if c in own else known[c] for c in chunks]])
-            _add(known, own, CHUNKS)
-            return out
-        return b"".join([head, *map(known.__getitem__, chunks)])
+        head, *made = self._join([_PIECE.findall(first), *[_PIECE.findall(" " + c) for c in new]])
+        if new:
+            own = dict(zip(new, made, strict=True))
+            found = [own[c] if v is None else v for c, v in zip(chunks, found, strict=True)]
+            _add(self.chunks, own, CHUNKS)
+        return b"".join([head, *found])
 
 
 def encoder(path: str) -> Encoder:
