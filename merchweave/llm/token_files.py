@@ -44,54 +44,79 @@ HEAD = 9  # bytes before the packed values
 _POWERS = np.asarray([1 << i for i in range(32)], np.uint32)
 
 
-def pack_block(ids: np.ndarray) -> bytes:
-    base = int(ids.min())
-    values = (ids - base).astype(np.uint32)
-    need = np.searchsorted(_POWERS, values, side="right")  # bits of each value
-    at_width = np.bincount(need, minlength=33)
-    over = len(values) - np.cumsum(at_width)  # exceptions by width
-    chosen = int(np.argmax(over <= len(values) * (100 - PERCENTILE) / 100))
-    cost = np.arange(33) * len(values) + 48 * over
-    width = chosen if cost[chosen] <= cost.min() else int(cost.argmin())
-    odd = np.flatnonzero(need > width)
-    bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
-    return b"".join(
-        [
-            np.uint32(base).tobytes(),
-            bytes([width]),
-            np.asarray([len(values), len(odd)], "<u2").tobytes(),
-            np.packbits(bits.reshape(-1), bitorder="little").tobytes(),
-            odd.astype("<u2").tobytes(),
-            (values[odd].astype(np.uint64) >> np.uint64(width)).astype("<u4").tobytes(),
-        ]
-    )
-
-
-def unpack_block(data: bytes, start: int = 0) -> np.ndarray:
-    base = int.from_bytes(data[start : start + 4], "little")
-    width = data[start + 4]
-    n, odd = np.frombuffer(data, "<u2", 2, start + 5).tolist()
-    at = start + HEAD
-    size = (n * width + 7) // 8
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
-    wide = np.zeros((n, 32), np.uint8)
-    wide[:, :width] = bits
-    values = np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(-1).astype(np.uint64)
-    if odd:
-        where = np.frombuffer(data, "<u2", odd, at + size)
-        high = np.frombuffer(data, "<u4", odd, at + size + 2 * odd).astype(np.uint64)
-        values[where] |= high << np.uint64(width)
-    return (values + np.uint64(base)).astype(np.uint32)
+def _widths(need: np.ndarray) -> np.ndarray:
+    """The width of every row of ``need``, the bits of its values."""
+    rows, n = need.shape
+    at_width = np.bincount((np.arange(rows)[:, None] * 33 + need).ravel(), minlength=rows * 33).reshape(rows, 33)
+    over = n - np.cumsum(at_width, axis=1)  # exceptions by width
+    chosen = np.argmax(over <= n * (100 - PERCENTILE) / 100, axis=1)
+    cost = np.arange(33) * n + 48 * over
+    cheapest = cost.argmin(axis=1)
+    every = np.arange(rows)
+    return np.where(cost[every, chosen] <= cost[every, cheapest], chosen, cheapest)
+
+
+def _pack_rows(ids: np.ndarray) -> list[bytes]:
+    """The blocks of an array with one block per row; rows of one width are packed together."""
+    n = ids.shape[1]
+    base = ids.min(axis=1)
+    values = ids - base[:, None]
+    need = np.searchsorted(_POWERS, values, side="right")
+    width = _widths(need)
+    out: list[bytes] = [b""] * len(ids)
+    for w in np.unique(width).tolist():
+        rows = np.flatnonzero(width == w)
+        own = values[rows]
+        size = 2 if w <= 16 else 4
+        low = np.ascontiguousarray(own.astype(f"<u{size}")).view(np.uint8).reshape(-1, size)
+        bits = np.unpackbits(low, axis=1, count=w, bitorder="little").reshape(len(rows), n * w)
+        packed = np.packbits(bits, axis=1, bitorder="little")
+        where, odd = np.nonzero(need[rows] > w)
+        ends = np.searchsorted(where, np.arange(len(rows) + 1))
+        high = (own[where, odd].astype(np.uint64) >> np.uint64(w)).astype("<u4")
+        odd = odd.astype("<u2")
+        for i, row in enumerate(rows.tolist()):
+            a, b = ends[i], ends[i + 1]
+            head = int(base[row]).to_bytes(4, "little") + bytes([w]) + n.to_bytes(2, "little") + int(b - a).to_bytes(2, "little")
+            out[row] = head + packed[i].tobytes() + odd[a:b].tobytes() + high[a:b].tobytes()
+    return out
 
 
 def pack_ids(ids: np.ndarray) -> tuple[bytes, list[int]]:
-    blocks = [pack_block(ids[i : i + BLOCK_IDS]) for i in range(0, len(ids), BLOCK_IDS)]
+    """The blocks of all ids, and the byte at which each starts."""
+    ids = ids.astype(np.uint32, copy=False)
+    whole = len(ids) // BLOCK_IDS * BLOCK_IDS
+    blocks = _pack_rows(ids[:whole].reshape(-1, BLOCK_IDS)) if whole else []
+    if whole < len(ids):
+        blocks += _pack_rows(ids[None, whole:])
     starts = np.cumsum([0, *[len(b) for b in blocks]])[:-1]
     return b"".join(blocks), starts.tolist()
 
 
 def unpack_ids(payload: bytes, starts: list[int]) -> np.ndarray:
-    return np.concatenate([unpack_block(payload, s) for s in starts]) if starts else np.empty(0, np.uint32)
+    """The ids of the blocks at ``starts``; blocks of one width and length are unpacked together."""
+    alike: dict[tuple[int, int], list[int]] = {}
+    for i, at in enumerate(starts):
+        alike.setdefault((payload[at + 4], int.from_bytes(payload[at + 5 : at + 7], "little")), []).append(i)
+    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(starts)
+    for (w, n), members in alike.items():
+        size = (n * w + 7) // 8
+        packed = np.frombuffer(b"".join([payload[starts[i] + HEAD : starts[i] + HEAD + size] for i in members]), np.uint8)
+        bits = np.unpackbits(packed.reshape(len(members), size), axis=1, count=n * w, bitorder="little")
+        room = 2 if w <= 16 else 4
+        wide = np.packbits(bits.reshape(len(members) * n, w), axis=1, bitorder="little") if w else np.zeros((len(members) * n, 0), np.uint8)
+        full = np.zeros((len(members) * n, room), np.uint8)
+        full[:, : wide.shape[1]] = wide
+        values = full.view(f"<u{room}").reshape(len(members), n).astype(np.uint32)
+        for row, i in zip(values, members, strict=True):
+            at = starts[i]
+            odd = int.from_bytes(payload[at + 7 : at + 9], "little")
+            if odd:
+                where = np.frombuffer(payload, "<u2", odd, at + HEAD + size)
+                high = np.frombuffer(payload, "<u4", odd, at + HEAD + size + 2 * odd).astype(np.uint64)
+                row[where] |= (high << np.uint64(w)).astype(np.uint32)
+            out[i] = row + np.uint32(int.from_bytes(payload[at : at + 4], "little"))
+    return np.concatenate(out) if out else np.empty(0, np.uint32)
 
 
 def write(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> None:

@@ -32,6 +32,7 @@ GRAM = 5
 SAMPLE = 20_000
 FEATURES = 512
 LEAST_DOCS = 3  # that hold a gram
+LEAST_CHI_SQUARE = 20.0  # below, a gram may as well be chance
 FOLDS = 5
 ROUNDS = 120
 RATE = 0.2
@@ -176,7 +177,8 @@ def choose_features(rows: DataFrame, names: list[str], most: int) -> list[str]:
     each = max(1, most // max(1, len(names)))
     found: dict[str, None] = {}
     for name, p in zip(names, positive, strict=True):
-        best = counts.filter(F.col("n") >= LEAST_DOCS).orderBy(chi_square(name, p).desc(), "gram").limit(each).select("gram")
+        telling = counts.withColumn("chi", chi_square(name, p)).filter((F.col("n") >= LEAST_DOCS) & (F.col("chi") >= LEAST_CHI_SQUARE))
+        best = telling.orderBy(F.col("chi").desc(), "gram").limit(each).select("gram")
         found.update(dict.fromkeys(r[0] for r in best.collect()))
     return list(found)
 
