@@ -398,14 +398,21 @@ def open_issues(checks: DataFrame) -> DataFrame:
 
 
 class QualityGateError(RuntimeError):
-    pass
+    """``issues`` is the whole table of failing checks."""
 
+    def __init__(self, message: str, issues: DataFrame):
+        super().__init__(message)
+        self.issues = issues
 
-def quality_gate(checks: DataFrame, show: int = 20) -> None:
-    """Stop the pipeline if a check ended in ERROR."""
-    errors = checks.filter(F.col("severity") == ERROR).select("table_name", "check_name").limit(show).collect()
-    if errors:
-        raise QualityGateError("; ".join(f"{r.table_name}: {r.check_name}" for r in errors))
+
+def quality_gate(checks: DataFrame) -> None:
+    """Stop the pipeline if a check ended in ERROR, naming every failing check and their number."""
+    errors = checks.filter(F.col("severity") == ERROR)
+    # One row per table and check of the expectations, however large the tables.
+    found = errors.select("table_name", "check_name").collect()
+    if found:
+        names = "; ".join(f"{r.table_name}: {r.check_name}" for r in found)
+        raise QualityGateError(f"{len(found)} failing: {names}", errors)
 
 
 def constraint_checks(

@@ -52,7 +52,7 @@ def build_transactions(
 
     Orders, items, reviews and payments share the order key and thus one
     shuffle. Pass customers reduced to one row per person to reproduce the
-    reference data (later orders of a person then have no user), or all of them.
+    source data (later orders of a person then have no user), or all of them.
     """
     lines = with_reviews(orders_with_items(orders, items), reviews).join(payments, "order_id", "left")
     people = customers.select("customer_id", "customer_unique_id", "customer_state")

@@ -85,7 +85,7 @@ def ingest_all(
         try:
             return land(sources[name](), root, name, ingest_date=ingest_date)
         except Exception as problem:  # noqa: BLE001 - any failure of one source is recorded
-            return _record(None, name, "", "", 0, None, "FAILED", str(problem).splitlines()[0][:200])
+            return _record(None, name, "", "", 0, None, "FAILED", str(problem))
 
     with ThreadPoolExecutor(at_once) as pool:
         records = list(pool.map(inheritable_thread_target(one), sources))
