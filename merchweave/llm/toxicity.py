@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchweave.session import staged
+
 GRAM = 5
 SAMPLE = 20_000
 FEATURES = 512
@@ -93,13 +95,17 @@ def fit(rows: np.ndarray, cols: np.ndarray, earlier: np.ndarray, y: np.ndarray,
     n, share = len(y), float(y.mean()) if len(y) else 0.0
     if share in (0.0, 1.0):
         return Model(np.zeros(n_features), np.zeros(earlier.shape[1]), 30.0 if share else -30.0)
-    at = np.zeros(n_features + earlier.shape[1] + 1)
+    # At most SAMPLE by FEATURES numbers and the few columns of the chain.
+    inputs = np.zeros((n, n_features + earlier.shape[1] + 1), np.float32)
+    inputs[rows, cols] = 1
+    inputs[:, n_features:-1] = earlier
+    inputs[:, -1] = 1
+    at = np.zeros(inputs.shape[1])
     at[-1] = np.log(share / (1 - share))
     first, second = np.zeros_like(at), np.zeros_like(at)
     for t in range(1, ROUNDS + 1):
-        model = Model(at[:n_features], at[n_features:-1], at[-1])
-        off = probability(model.margin(rows, cols, n, earlier)) - y
-        slope = np.concatenate([np.bincount(cols, off[rows], n_features), off @ earlier, [off.sum()]]) / n
+        off = probability(inputs @ at.astype(np.float32)) - y
+        slope = (off.astype(np.float32) @ inputs).astype(np.float64) / n
         slope[:-1] += DECAY * at[:-1]
         first += 0.1 * (slope - first)
         second += 0.001 * (slope * slope - second)
@@ -146,12 +152,20 @@ def choose_features(rows: DataFrame, names: list[str], most: int) -> list[str]:
     """The grams with the largest chi-square for any category."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, frozenset[str]] = {}
         for batch in batches:
             n = Counter()
             of = [Counter() for _ in names]
             labels = [batch.column(name).to_pylist() for name in names]
             for i, value in enumerate(batch.column("text").to_pylist()):
-                own = {g for w in words(value) for g in grams(w)}
+                if len(known) > WORDS_KEPT:
+                    known.clear()
+                own: set[str] = set()
+                for w in words(value):
+                    hit = known.get(w)
+                    if hit is None:
+                        hit = known[w] = frozenset(grams(w))
+                    own |= hit
                 n.update(own)
                 for c, y in zip(of, labels, strict=True):
                     if y[i]:
@@ -160,11 +174,13 @@ def choose_features(rows: DataFrame, names: list[str], most: int) -> list[str]:
             columns += [pa.array([c[g] for g in n], pa.int64()) for c in of]
             yield pa.RecordBatch.from_arrays(columns, ["gram", "n", *names])
 
-    counts = (
+    counts = staged(
         rows.select("text", *names)
         .mapInArrow(count, f"gram string, n bigint, {', '.join(f'`{x}` bigint' for x in names)}")
         .groupBy("gram")
         .agg(F.sum("n").alias("n"), *[F.sum(x).alias(x) for x in names])
+        .filter(F.col("n") >= LEAST_DOCS),
+        "gram-counts",
     )
     total, *positive = rows.agg(F.count("*"), *[F.sum(x) for x in names]).first()
 
@@ -177,7 +193,7 @@ def choose_features(rows: DataFrame, names: list[str], most: int) -> list[str]:
     each = max(1, most // max(1, len(names)))
     found: dict[str, None] = {}
     for name, p in zip(names, positive, strict=True):
-        telling = counts.withColumn("chi", chi_square(name, p)).filter((F.col("n") >= LEAST_DOCS) & (F.col("chi") >= LEAST_CHI_SQUARE))
+        telling = counts.withColumn("chi", chi_square(name, p)).filter(F.col("chi") >= LEAST_CHI_SQUARE)
         best = telling.orderBy(F.col("chi").desc(), "gram").limit(each).select("gram")
         found.update(dict.fromkeys(r[0] for r in best.collect()))
     return list(found)
