@@ -25,7 +25,8 @@ from __future__ import annotations
 import heapq
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ KNOWN = 100_000  # words whose counts every task has at hand; the others are loo
 FLUSH = 500_000  # distinct words counted in a task before they are passed on
 LANES = 256
 STEPS = 16
+SCORE_STEPS = 64  # taken at a time in scoring; does not change results
+BLOCK = 2_000_000  # tokens after which documents go to the lanes
 ROUNDS = 2
 RATE = 0.01
 HELD_OUT = 2  # remainder of the id's CRC-32 by 7
@@ -88,21 +91,30 @@ def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Columns shifted to a maximum of zero, their exponentials and the sums of these."""
+    x -= x.max(axis=0)
+    e = np.exp(x)
+    return x, e, e.sum(axis=0)
 
 
 def forward(w: dict, h: np.ndarray, inputs: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, list]:
     """States after every step (steps, lanes, hidden), and what going back needs."""
     x, kept = w["E"][inputs], []
+    u_gates, u_new = w["U"][:, : 2 * HIDDEN], w["U"][:, 2 * HIDDEN :]
     states = np.empty((len(inputs), len(h), HIDDEN), np.float32)
     for t in range(len(inputs)):
-        h = np.where(first[t][:, None], np.float32(0), h)
-        gates = 1 / (1 + np.exp(-(x[t, :, : 2 * HIDDEN] + h @ w["U"][:, : 2 * HIDDEN])))
+        if first[t].any():
+            h = np.where(first[t][:, None], np.float32(0), h)
+        gates = h @ u_gates
+        gates += x[t, :, : 2 * HIDDEN]
+        gates = 1 / (1 + np.exp(-gates))
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        n = np.tanh(x[t, :, 2 * HIDDEN :] + (r * h) @ w["U"][:, 2 * HIDDEN :])
-        kept.append((h, z, r, n))
+        reset = r * h
+        n = reset @ u_new
+        n += x[t, :, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        kept.append((h, z, r, n, reset))
         h = h + z * (n - h)
         states[t] = h
     return states, kept
@@ -110,54 +122,67 @@ def forward(w: dict, h: np.ndarray, inputs: np.ndarray, first: np.ndarray) -> tu
 
 def log_probabilities(w: dict, states: np.ndarray, targets: np.ndarray, back: bool = False):
     """Natural log-probability of each target after its state; with ``back``, also the gradients of their sum."""
+    # Tokens stand in the columns of the softmax, in order of their target's class.
     classes, places = np.divmod(targets, CLASS_SIZE)
-    by_class = _log_softmax(states @ w["Wc"] + w["bc"])
-    out = by_class[np.arange(len(targets)), classes]
-    order = np.argsort(classes, kind="stable")
-    ends = np.cumsum(np.bincount(classes, minlength=CLASSES))
+    order = np.argsort(classes.astype(np.int16), kind="stable")
+    states, classes, places, column = states[order], classes[order], places[order], np.arange(len(targets))
+    x, e, total = _exponentials(w["Wc"].T @ states.T + w["bc"][:, None])
+    found = x[classes, column] - np.log(total)
     grad, d_states = {}, None
     if back:
-        d = -np.exp(by_class)
-        d[np.arange(len(targets)), classes] += 1
-        grad = {"Wc": states.T @ d, "bc": d.sum(axis=0), "Ww": np.zeros_like(w["Ww"]), "bw": np.zeros_like(w["bw"])}
-        d_states = d @ w["Wc"].T
+        d = e / -total
+        d[classes, column] += 1
+        grad = {"Wc": (d @ states).T, "bc": d.sum(axis=1), "Ww": np.zeros_like(w["Ww"]), "bw": np.zeros_like(w["bw"])}
+        d_states = d.T @ w["Wc"].T
+    ends = np.cumsum(np.bincount(classes, minlength=CLASSES))
     for c in range(CLASSES):
-        rows = order[ends[c - 1] if c else 0 : ends[c]]
-        if not len(rows):
+        rows = slice(ends[c - 1] if c else 0, ends[c])
+        own, at = states[rows], places[rows]
+        if not len(own):
             continue
-        own = states[rows]
-        inside = _log_softmax(own @ w["Ww"][c] + w["bw"][c])
-        at = places[rows]
-        out[rows] += inside[np.arange(len(rows)), at]
+        x, e, total = _exponentials(w["Ww"][c].T @ own.T + w["bw"][c][:, None])
+        found[rows] += x[at, column[: len(own)]] - np.log(total)
         if back:
-            d = -np.exp(inside)
-            d[np.arange(len(rows)), at] += 1
-            grad["Ww"][c], grad["bw"][c] = own.T @ d, d.sum(axis=0)
-            d_states[rows] += d @ w["Ww"][c].T
-    return (out, grad, d_states) if back else out
+            d = e / -total
+            d[at, column[: len(own)]] += 1
+            grad["Ww"][c], grad["bw"][c] = (d @ own).T, d.sum(axis=1)
+            d_states[rows] += d.T @ w["Ww"][c].T
+    out = np.empty_like(found)
+    out[order] = found
+    if not back:
+        return out
+    d_out = np.empty_like(d_states)
+    d_out[order] = d_states
+    return out, grad, d_out
 
 
 def backward(w: dict, kept: list, inputs: np.ndarray, first: np.ndarray, d_states: np.ndarray) -> dict[str, np.ndarray]:
     """Gradients of the recurrent part, back to the window's first step."""
     d_x = np.empty((*inputs.shape, 3 * HIDDEN), np.float32)
-    d_u = np.zeros_like(w["U"])
+    back_gates, back_new = w["U"][:, : 2 * HIDDEN].T, w["U"][:, 2 * HIDDEN :].T
     d_h = np.zeros_like(d_states[0])
     for t in reversed(range(len(inputs))):
-        h, z, r, n = kept[t]
+        h, z, r, n, _ = kept[t]
         d_h = d_h + d_states[t]
-        d_n = d_h * z * (1 - n * n)
-        d_rh = d_n @ w["U"][:, 2 * HIDDEN :].T
-        d_gates = np.concatenate([d_h * (n - h) * z * (1 - z), d_rh * h * r * (1 - r)], axis=1)
-        d_u[:, 2 * HIDDEN :] += (r * h).T @ d_n
-        d_u[:, : 2 * HIDDEN] += h.T @ d_gates
-        d_x[t] = np.concatenate([d_gates, d_n], axis=1)
-        d_h = d_h * (1 - z) + d_rh * r + d_gates @ w["U"][:, : 2 * HIDDEN].T
+        d_z, d_r, d_n = d_x[t, :, :HIDDEN], d_x[t, :, HIDDEN : 2 * HIDDEN], d_x[t, :, 2 * HIDDEN :]
+        by_z = d_h * z
+        np.multiply(by_z, 1 - n * n, out=d_n)
+        np.multiply(by_z * (1 - z), n - h, out=d_z)
+        d_reset = d_n @ back_new
+        by_r = d_reset * r
+        np.multiply(by_r * (1 - r), h, out=d_r)
+        d_h = d_h - by_z + by_r + d_x[t, :, : 2 * HIDDEN] @ back_gates
         d_h[first[t]] = 0
+    gates, new = d_x[:, :, : 2 * HIDDEN].reshape(-1, 2 * HIDDEN), d_x[:, :, 2 * HIDDEN :].reshape(-1, HIDDEN)
+    d_u = np.concatenate(
+        [np.concatenate([k[0] for k in kept]).T @ gates, np.concatenate([k[4] for k in kept]).T @ new], axis=1
+    )
     symbols, rows = inputs.ravel(), d_x.reshape(-1, 3 * HIDDEN)
-    order = np.argsort(symbols, kind="stable")
-    found, starts = np.unique(symbols[order], return_index=True)
+    order = np.argsort(symbols.astype(np.int16), kind="stable")
+    symbols = symbols[order]
+    starts = np.flatnonzero(np.append(True, symbols[1:] != symbols[:-1]))
     d_e = np.zeros_like(w["E"])
-    d_e[found] = np.add.reduceat(rows[order], starts, axis=0)
+    d_e[symbols[starts]] = np.add.reduceat(rows[order], starts, axis=0)
     return {"E": d_e, "U": d_u}
 
 
@@ -197,7 +222,7 @@ def log_likelihoods(w: dict, docs: list[np.ndarray]) -> np.ndarray:
     lanes = Lanes(docs)
     found = np.zeros(len(lanes.targets), np.float64)
     h = np.zeros((len(lanes.length), HIDDEN), np.float32)
-    for places, there in lanes.windows():
+    for places, there in lanes.windows(SCORE_STEPS):
         states, _ = forward(w, h[: places.shape[1]], lanes.inputs[places], lanes.first[places])
         h = states[-1]
         found[places[there]] = log_probabilities(w, states[there], lanes.targets[places[there]])
@@ -207,6 +232,19 @@ def log_likelihoods(w: dict, docs: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def blocks(docs: Iterable[np.ndarray], most: int = BLOCK) -> Iterator[list[np.ndarray]]:
+    """Runs of whole documents, each run closed by the document that brings it to ``most`` tokens."""
+    held, size = [], 0
+    for doc in docs:
+        held.append(doc)
+        size += len(doc)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def learn(w: dict, docs: list[np.ndarray], moments: dict, t: int) -> int:
     """One pass over the documents, changing ``w`` and Adam's moments in place; gives the new step number."""
     lanes = Lanes(docs)
@@ -263,13 +301,21 @@ class Symbols:
     def __init__(self, common: list[tuple[bytes, int]]):
         ranked = sorted(common, key=lambda x: (-x[1], x[0]))
         self.place = {word: i for i, (word, _) in enumerate(ranked)}
+        self.own = {word: i + 2 for i, (word, _) in enumerate(ranked[:VOCABULARY])}
         self.counts = np.asarray([c for _, c in ranked], np.int64)
 
     def places(self, text: bytes | None) -> tuple[list[bytes], np.ndarray]:
         """The words, and each one's place among those at hand or -1."""
         found = words(text)
-        get = self.place.get
-        return found, np.fromiter((get(x, -1) for x in found), np.int64, len(found))
+        return found, np.fromiter(map(self.place.get, found, repeat(-1)), np.int64, len(found))
+
+    def training(self, text: bytes | None) -> np.ndarray:
+        """The symbols alone, from a table of the few words that have one."""
+        found = words(text)
+        out = np.empty(len(found) + 1, np.int64)
+        out[:-1] = np.fromiter(map(self.own.get, found, repeat(RARE)), np.int64, len(found))
+        out[-1] = END
+        return out
 
     @staticmethod
     def symbols(places: np.ndarray) -> np.ndarray:
@@ -323,9 +369,9 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
             moments = {name: (np.zeros_like(x), np.zeros_like(x)) for name, x in w.items()}
             symbols = shared.value
             for batch in batches:
-                lists = [symbols.symbols(symbols.places(x)[1]) for x in batch.column(0).to_pylist()]
-                t = learn(w, lists, moments, t)
-                seen += sum(map(len, lists))
+                for lists in blocks(map(symbols.training, batch.column(0).to_pylist())):
+                    t = learn(w, lists, moments, t)
+                    seen += sum(map(len, lists))
             if seen:
                 values = flat(w).astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
@@ -354,20 +400,31 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
         base = np.log10((symbols.counts + 1) / denominator)
         end = math.log10((n_docs + 1) / denominator)
         for batch in batches:
-            lists, size, known, base_sum, behind, n_behind, rare = [], [], [], [], [], [], []
-            for value in batch.column(1).to_pylist():
-                found, places = symbols.places(value)
-                lists.append(symbols.symbols(places))
-                there = places[places >= 0]
-                size.append(len(found) + 1)
-                known.append(len(there) + (1 if n_docs else 0))
-                base_sum.append(float(base[there].sum()) + end)
-                behind.append(float(base[there[there >= VOCABULARY]].sum()))
-                n_behind.append(int((places < 0).sum() + (there >= VOCABULARY).sum()))
-                missing = Counter(found[i] for i in np.flatnonzero(places < 0).tolist())
-                rare.append([{"word": x, "n": c} for x, c in missing.items()])
-            network = log_likelihoods(w, lists) / math.log(10)
+            size, known, base_sum, behind, n_behind = [], [], [], [], []
+            rare_words, rare_n, rare_ends = [], [], [0]
+
+            def read(texts: list[bytes | None]) -> Iterator[np.ndarray]:
+                for value in texts:
+                    found, places = symbols.places(value)
+                    there = places[places >= 0]
+                    further = there[there >= VOCABULARY]
+                    size.append(len(found) + 1)
+                    known.append(len(there) + (1 if n_docs else 0))
+                    base_sum.append(float(base[there].sum()) + end)
+                    behind.append(float(base[further].sum()))
+                    n_behind.append(len(places) - len(there) + len(further))
+                    missing = Counter([found[i] for i in np.flatnonzero(places < 0).tolist()])
+                    rare_words.extend(missing)
+                    rare_n.extend(missing.values())
+                    rare_ends.append(len(rare_words))
+                    yield symbols.symbols(places)
+
+            parts = [log_likelihoods(w, lists) for lists in blocks(read(batch.column(1).to_pylist()))]
+            network = np.concatenate(parts or [np.zeros(0)]) / math.log(10)
             network += np.asarray(behind) - np.asarray(n_behind) * math.log10(rare_mass)
+            rare = pa.StructArray.from_arrays(
+                [pa.array(rare_words, pa.binary()), pa.array(rare_n, pa.int64())], ["word", "n"]
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -376,7 +433,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
                     pa.array(known, pa.int64()),
                     pa.array(base_sum, pa.float64()),
                     pa.array(network, pa.float64()),
-                    pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
+                    pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), rare),
                 ],
                 ["doc_id", "held_out", "n_tokens", "known", "base", "network", "rare"],
             )
