@@ -119,9 +119,10 @@ def hybrid_recommendations(training: DataFrame, k: int = 10, depth: int = HYBRID
 
 
 def factor_model(train: DataFrame, test: DataFrame, rank: int = 20, iterations: int = 10, seed: int = 42) -> DataFrame:
-    """Non-negative factors by ALS; predictions for the test rows, clipped to the scale.
+    """Non-negative factors of the ratings by ALS; predictions for the test rows, clipped to the scale.
 
-    Rows with an unknown user or product get the train mean.
+    The factors are fitted to the ratings themselves; a missing rating is unknown, not 0. ``score`` is the
+    prediction before the clip, which ranks items. Rows with an unknown user or product get the train mean.
     """
     from pyspark.ml.recommendation import ALS
 
@@ -136,7 +137,6 @@ def factor_model(train: DataFrame, test: DataFrame, rank: int = 20, iterations:
         rank=rank,
         maxIter=iterations,
         nonnegative=True,
-        implicitPrefs=True,
         seed=seed,
         userCol="user_code",
         itemCol="item_code",
@@ -151,5 +151,6 @@ def factor_model(train: DataFrame, test: DataFrame, rank: int = 20, iterations:
         F.col("customer_unique_id").alias("uid"),
         F.col("product_id").alias("iid"),
         F.col("rating").alias("true_rating"),
+        F.coalesce(raw, overall).alias("score"),
         clip(F.coalesce(raw, overall), *SCALE).alias("pred_rating"),
     )

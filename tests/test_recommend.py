@@ -313,3 +313,13 @@ def test_factor_model_predicts_every_test_row(spark, world):
     got = ratings.factor_model(train, test, rank=4, iterations=3).collect()
     assert len(got) == test.count()
     assert all(1.0 <= r.pred_rating <= 5.0 for r in got)
+
+
+def test_factor_model_follows_the_ratings(spark):
+    rows = [(u, i, float(1 + (i + u % 2 * 2) % 5)) for u in range(30) for i in range(20)]
+    ratings_of = spark.createDataFrame(rows, "customer_unique_id int, product_id int, rating double")
+    test = ratings_of.filter("(customer_unique_id * 7 + product_id) % 5 = 0")
+    got = ratings.factor_model(ratings_of.exceptAll(test), test, rank=6).collect()
+    mean = sum(r.true_rating for r in got) / len(got)
+    assert len({round(r.score, 6) for r in got}) > 4
+    assert sum((r.pred_rating - r.true_rating) ** 2 for r in got) < 0.25 * sum((mean - r.true_rating) ** 2 for r in got)
