@@ -159,7 +159,7 @@ def _range_detail(below: Column, above: Column) -> Column:
     return F.concat(below.cast("string"), F.lit(" below, "), above.cast("string"), F.lit(" above"))
 
 
-def _numeric(df: DataFrame) -> list[str]:
+def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
@@ -260,7 +260,7 @@ def check_allowed(df: DataFrame, table: str, allowed: Mapping[str, Sequence[str]
 
 def profile_numeric(df: DataFrame, table: str) -> DataFrame:
     """Range, mean, sample deviation and exact median of every numeric column."""
-    columns = _numeric(df)
+    columns = numeric_columns(df)
     stats = df.agg(
         F.array(
             *[
@@ -281,9 +281,13 @@ def profile_numeric(df: DataFrame, table: str) -> DataFrame:
     return stats.join(medians, "column_name", "left").withColumn("table_name", F.lit(table))
 
 
+def text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+
+
 def profile_categorical(df: DataFrame, table: str, top: int = 5) -> DataFrame:
     """Distinct values and the most frequent ones of every text column; ties by value."""
-    columns = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    columns = text_columns(df)
     long = df.select(*columns).unpivot([], columns, "column_name", "value").filter(F.col("value").isNotNull())
     counts = long.groupBy("column_name", "value").agg(F.count("*").alias("n"))
     unique = counts.groupBy("column_name").agg(F.count("*").alias("unique_count"))

@@ -558,6 +558,7 @@ RAW = {
     "lineitem": "l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate",
     "events": "event_id,ts,user_id,event_type,value,props",
     "documents": "doc_id,text,lang,source,n_chars",
+    "embeddings": "vec_id,embedding,label",
     "pages": "page_id,url,html",
     "benchmark": "item_id,text",
     "labels": "doc_id,quality,toxic",
@@ -576,16 +577,24 @@ SELECT count(*) AS total, count(CASE WHEN status = 'SUCCESS' THEN 1 END) AS succ
        count(CASE WHEN status <> 'SUCCESS' THEN 1 END) AS failed, CAST(sum(row_count) AS BIGINT) AS rows_ingested FROM audit"""
 
 
-def _checksum(t: str) -> str:
-    values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in RAW[t].split(","))
-    digest = f"CAST(('0x' || substr(md5(concat_ws('|', {values})), 1, 8)) AS BIGINT)"
-    result = "skipped" if t == "labels" else "verified"
-    return f"SELECT '{t}' AS source_name, count(*) AS actual_rows, CAST(sum({digest}) AS VARCHAR) AS actual_checksum, '{result}' AS result FROM {t}"
+def _checksum(t: str, changed: str = "") -> str:
+    """Sums over both halves of the rows' digests; ``changed`` is a column read in lower case."""
+    texts = [f"CAST({f'lower({c})' if c == changed else c} AS VARCHAR)" for c in RAW[t].split(",")]
+    digest = "md5(concat(" + ", ".join(f"coalesce(length({x}) || ':' || {x}, '-')" for x in texts) + "))"
+    halves = [f"coalesce(CAST(sum(CAST('0x' || substr(d, {at}, 16) AS UBIGINT)) AS VARCHAR), '0')" for at in (1, 17)]
+    return f"SELECT count(*) AS n, {halves[0]} || '-' || {halves[1]} AS checksum FROM (SELECT {digest} AS d FROM {t})"
 
 
-SQL["checksum_verify"] = UNION.join(
-    _checksum(t) for t in ("region", "nation", "customer", "supplier", "part", "orders", "labels")
-)
+def _verified(t: str) -> str:
+    actual = _checksum(t, "n_name" if t == "nation" else "")
+    expected = "'skipped'" if t == "labels" else "CASE WHEN a.checksum = e.checksum THEN 'verified' ELSE 'mismatched' END"
+    return (
+        f"SELECT '{t}' AS source_name, a.n AS actual_rows, a.checksum AS actual_checksum, {expected} AS result "
+        f"FROM ({actual}) a, ({_checksum(t)}) e"
+    )
+
+
+SQL["checksum_verify"] = UNION.join(_verified(t) for t in RAW if t != "embeddings")
 _BYTES = "(n_chars * n_chars * doc_id)"
 
 
@@ -598,8 +607,7 @@ SELECT doc_id, {_BYTES} AS n_bytes, CASE WHEN {_BYTES} < 1024 THEN {_size(0, 'B'
   WHEN {_BYTES} < {1024**3} THEN {_size(2, 'MB')} WHEN {_BYTES} < {1024**4} THEN {_size(3, 'GB')} ELSE {_size(4, 'TB')} END AS size_human
 FROM documents"""
 SQL["source_names"] = UNION.join(
-    f"SELECT '{n}' AS source_name, count(*) AS n_rows FROM {t}"
-    for t, n in (("orders", "order"), ("events", "event"), ("lineitem", "lineitem"), ("part", "part"))
+    f"SELECT '{t.removesuffix('s')}' AS source_name, count(*) AS n_rows FROM {t}" for t in RAW
 )
 SQL["sample_rows"] = """
 SELECT order_id, order_status FROM (
@@ -662,6 +670,10 @@ NUMERIC = {
     "payments": ["order_id", "payment_sequential", "payment_installments", "payment_value"],
     "reviews": ["review_id", "order_id", "review_score"],
     "order_items": ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"],
+    "customers": ["customer_id", "customer_unique_id"],
+    "orders": ["order_id", "customer_id"],
+    "sellers": ["seller_id"],
+    "geolocation": ["geolocation_lat", "geolocation_lng"],
 }
 SQL["profile_numeric"] = UNION.join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS non_null, count(*) - count({c}) AS null_count, "
@@ -676,6 +688,9 @@ TEXT = {
     "reviews": ["review_comment_title", "review_comment_message"],
     "products": ["product_category_name"],
     "sellers": ["seller_zip_code_prefix", "seller_city", "seller_state"],
+    "customers": ["customer_zip_code_prefix", "customer_city", "customer_state"],
+    "geolocation": ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"],
+    "categories": ["product_category_name", "product_category_name_english"],
 }
 SQL["profile_categorical"] = UNION.join(
     f"SELECT * FROM (SELECT '{t}' AS table_name, '{c}' AS column_name, {c} AS value, count(*) AS n, "

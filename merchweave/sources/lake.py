@@ -20,14 +20,22 @@ AUDIT_SCHEMA = (
 
 
 def row_digest(columns: list[str]) -> Column:
-    """Number from the MD5 of a row's values; NULL is marked, so it differs from empty text."""
-    values = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *values)), 1, 8), 16, 10).cast("decimal(20,0)")
+    """MD5 over a row's values, each with its length before it; a NULL has none, so no two rows read alike."""
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
 
 
 def table_checksum(columns: list[str]) -> Column:
-    """Aggregate: checksum of a table that does not depend on row order or file layout."""
-    return F.coalesce(F.sum(row_digest(columns)).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")).cast("string")
+    """Aggregate: checksum of a table that does not depend on row order or file layout.
+
+    Both 64-bit halves of the rows' digests are summed, so that equal rows count as often as they occur.
+    """
+    digest = row_digest(columns)
+    sums = [
+        F.sum(F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)").cast("string")
+        for at in (1, 17)
+    ]
+    return F.concat_ws("-", *[F.coalesce(x, F.lit("0")) for x in sums])
 
 
 def landing_path(root: str, source: str, data_type: str) -> str:

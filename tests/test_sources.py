@@ -262,3 +262,15 @@ def test_repeats_are_dropped(spark, event_dir):
     twice = source(spark, tmp).unionByName(source(spark, tmp))
     events.drain(events.without_repeats(twice), str(tmp / "once"), str(tmp / "state"))
     assert spark.read.parquet(str(tmp / "once")).count() == 40
+
+
+def test_checksum_keeps_fields_and_nulls_apart(spark):
+    def checksum(*rows):
+        df = spark.createDataFrame(list(rows), "x string, y string")
+        return df.agg(lake.table_checksum(["x", "y"])).first()[0]
+
+    assert checksum(("a|b", "c")) != checksum(("a", "b|c"))
+    assert checksum((None, "c")) != checksum(("\\N", "c")) != checksum(("-", "c"))
+    assert checksum(("a", None)) != checksum((None, "a"))
+    assert checksum(("a", "b"), ("c", "d")) == checksum(("c", "d"), ("a", "b")) != checksum(("a", "b"))
+    assert checksum() == "0-0"
