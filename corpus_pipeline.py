@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from merchweave.llm import exact_dedup, mixing, packing, simhash, toxicity
-from merchweave.llm.common import documents
+from merchweave.llm.common import documents, small_batches
 from merchweave.session import staged
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject."""
+    small_batches(spark)
     chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.reject(docs, chain)
 
@@ -26,6 +27,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near-duplicates."""
+    small_batches(spark)
     return simhash.deduplicate(docs)
 
 
@@ -36,6 +38,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in the training sequences."""
+    small_batches(spark)
     return packing.pack(docs)
 
 

@@ -152,7 +152,7 @@ def choose_features(rows: DataFrame, names: list[str], most: int) -> list[str]:
     """The grams with the largest chi-square for any category."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[str]] = {}
+        known: dict[str, list[str]] = {}
         for batch in batches:
             n = Counter()
             of = [Counter() for _ in names]
@@ -164,8 +164,8 @@ def choose_features(rows: DataFrame, names: list[str], most: int) -> list[str]:
                 for w in words(value):
                     hit = known.get(w)
                     if hit is None:
-                        hit = known[w] = frozenset(grams(w))
-                    own |= hit
+                        hit = known[w] = grams(w)
+                    own.update(hit)
                 n.update(own)
                 for c, y in zip(of, labels, strict=True):
                     if y[i]:
