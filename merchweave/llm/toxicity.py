@@ -8,6 +8,9 @@ A text's features are the character 5-grams of its distinct words, with marks at
 word, so stems count whatever their endings. The chain is fitted on at most ``SAMPLE`` labelled
 documents, those with the smallest hash of their id; on these the ``FEATURES`` grams that tell most
 about any category are chosen by a chi-square count and the models fitted by logistic regression.
+Grams that may as well be chance are left out by their exact (hypergeometric) probability, so that at
+most ``CHANCE`` of the chosen are expected to be such: with few labels or a rare category few documents
+are enough, among many grams more are asked for.
 A document is put into a category if its probability is over ``THRESHOLD``. All documents are scored,
 whole.
 
@@ -34,7 +37,7 @@ GRAM = 5
 SAMPLE = 20_000
 FEATURES = 512
 LEAST_DOCS = 3  # that hold a gram
-LEAST_CHI_SQUARE = 20.0  # below, a gram may as well be chance
+CHANCE = 0.1  # share of the chosen grams that may be there by chance
 FOLDS = 5
 ROUNDS = 120
 RATE = 0.2
@@ -148,8 +151,26 @@ def labelled_sample(
     )
 
 
+def by_chance(n: int, held: int, positive: int, total: int) -> float:
+    """Probability that of ``n`` documents drawn from ``total``, ``held`` or a less likely number are positive.
+
+    On the side of ``held`` only: as many or more if it is over the expected number, else as many or fewer.
+    """
+    low, high = max(0, n + positive - total), min(n, positive)
+    k = np.arange(held, high + 1) if held * total >= n * positive else np.arange(low, held + 1)
+    of = np.cumsum(np.log(np.maximum(np.arange(total + 1), 1)))  # logarithms of the factorials
+    every = of[total] - of[n] - of[total - n]
+    ways = of[positive] - of[k] - of[positive - k] + of[total - positive] - of[n - k] - of[total - positive - n + k]
+    return min(1.0, float(np.exp(ways - every).sum()))
+
+
+def not_by_chance(chances: Sequence[float], tried: int) -> int:
+    """How many of the ascending ``chances`` of ``tried`` grams to take (Benjamini and Hochberg)."""
+    return max((k for k, p in enumerate(chances, 1) if p * tried <= CHANCE * k), default=0)
+
+
 def choose_features(rows: DataFrame, names: list[str], most: int) -> list[str]:
-    """The grams with the largest chi-square for any category."""
+    """The grams with the largest chi-square for any category, as far as they are not there by chance."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[str]] = {}
@@ -183,6 +204,7 @@ def choose_features(rows: DataFrame, names: list[str], most: int) -> list[str]:
         "gram-counts",
     )
     total, *positive = rows.agg(F.count("*"), *[F.sum(x) for x in names]).first()
+    tried = counts.count()
 
     def chi_square(name: str, p: int | None) -> Column:
         p = p or 0
@@ -193,9 +215,10 @@ def choose_features(rows: DataFrame, names: list[str], most: int) -> list[str]:
     each = max(1, most // max(1, len(names)))
     found: dict[str, None] = {}
     for name, p in zip(names, positive, strict=True):
-        telling = counts.withColumn("chi", chi_square(name, p)).filter(F.col("chi") >= LEAST_CHI_SQUARE)
-        best = telling.orderBy(F.col("chi").desc(), "gram").limit(each).select("gram")
-        found.update(dict.fromkeys(r[0] for r in best.collect()))
+        telling = counts.withColumn("chi", chi_square(name, p))
+        best = telling.orderBy(F.col("chi").desc(), "gram").limit(each).select("gram", "n", name).collect()
+        ranked = sorted((by_chance(r["n"], r[name], p or 0, total), r["gram"]) for r in best)
+        found.update((gram, None) for _, gram in ranked[: not_by_chance([x for x, _ in ranked], tried)])
     return list(found)
 
 

@@ -336,6 +336,25 @@ def test_toxicity_on_held_out_documents(spark):
     assert toxicity.reject(frame, nothing).count() == len(rows)
 
 
+def test_toxic_grams_count_with_few_labels(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    chain = toxicity.train(docs, labels)
+    abuse = {"scum", "moron", "loser", "disgusting", "worthless", "trash", "clown", "stupid", "pathetic", "idiot"}
+    texts = dict(plain(docs))
+    truth = {r.doc_id: r.toxic == 1 for r in labels.collect()}
+    abusive = {i for i, t in texts.items() if len(abuse & toxicity.words(t)) >= 2}
+    kept = {r.doc_id for r in toxicity.reject(docs, chain).collect()}
+    known = {i for i in abusive if truth.get(i)}
+    assert len(known) >= 5 and not known & kept
+    assert abusive - set(truth) and not abusive & kept  # those without a label too
+    assert {i for i, toxic in truth.items() if not toxic} <= kept
+    # A rare category in a large table, and what is chance in a small one.
+    assert toxicity.not_by_chance([toxicity.by_chance(3, 3, 20, 20_000)], 10_000) == 1
+    assert toxicity.not_by_chance([toxicity.by_chance(3, 2, 11, 87)], 7_000) == 0
+    assert toxicity.by_chance(2, 0, 1, 4) == pytest.approx(0.5) and toxicity.by_chance(2, 1, 1, 4) == pytest.approx(0.5)
+
+
 def test_mixing_reaches_the_targets(spark):
     rng = np.random.default_rng(4)
     rows = [
