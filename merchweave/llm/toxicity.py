@@ -6,7 +6,7 @@ the document (``FOLDS`` folds), in scoring from the final models.
 
 A text's features are the character 5-grams of its distinct words, with marks at both ends of a
 word, so stems count whatever their endings. The chain is fitted on at most ``SAMPLE`` labelled
-documents, those with the smallest hash of their id; on these the ``FEATURES`` grams that tell most
+documents, those with the smallest hash of their id, rows equal in id and text being one; on these the ``FEATURES`` grams that tell most
 about any category are chosen by a chi-square count and the models fitted by logistic regression.
 Grams that may as well be chance are left out by their exact (hypergeometric) probability, so that at
 most ``CHANCE`` of the chosen are expected to be such: with few labels or a rare category few documents
@@ -138,17 +138,21 @@ class Chain:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, categories: Mapping[str, str], id_column: str, text: str, sample: int
 ) -> DataFrame:
-    """(doc_id, text, one 0/1 column per category) of at most ``sample`` documents."""
+    """(doc_id, text, one 0/1 column per category) of at most ``sample`` documents, rows equal in id and text once."""
     own = labels.select(
         F.col("doc_id").alias("__id"), *[F.expr(c).cast("int").alias(name) for name, c in categories.items()]
     ).dropna()
     own = own.groupBy("__id").agg(*[F.max(name).alias(name) for name in categories])
-    # An id that has no document must not use up the sample.
-    own = own.join(docs.select(F.col(id_column).alias("__doc")).distinct(), F.col("__id") == F.col("__doc"), "left_semi")
-    chosen = own.orderBy(F.xxhash64("__id"), "__id").limit(sample)
-    return docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("__id")
+    # An id that has no document must not use up the sample, and one with many rows counts once per text.
+    keyed = docs.select(
+        F.col(id_column).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__hash")
     )
+    there = keyed.join(own, F.col("doc_id") == F.col("__id")).select("__id", "__hash", *categories).distinct()
+    chosen = there.orderBy(F.xxhash64("__id"), "__id", "__hash").limit(sample)
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    same = (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    once = texts.join(F.broadcast(chosen), same).groupBy("__id", "__hash", *categories).agg(F.min("text").alias("text"))
+    return staged(once.select(F.col("__id").alias("doc_id"), "text", *categories), "labelled")
 
 
 def by_chance(n: int, held: int, positive: int, total: int) -> float:

@@ -336,6 +336,18 @@ def test_toxicity_on_held_out_documents(spark):
     assert toxicity.reject(frame, nothing).count() == len(rows)
 
 
+def test_repeated_documents_stay_within_the_sample(spark):
+    rows = [(i, f"text {i}") for i in range(40)] + [(7, "text 7")] * 500 + [(8, f"other {i}") for i in range(100)] + [(9, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    found = [
+        [(r.doc_id, r.text, r.toxic) for r in toxicity.labelled_sample(frame, labels, toxicity.CATEGORIES, "doc_id", "text", n).collect()]
+        for n in (20, 1000)
+    ]
+    assert len(found[0]) == 20
+    assert sorted(found[1]) == sorted({(i, t or "", i % 2) for i, t in rows})
+
+
 def test_toxic_grams_count_with_few_labels(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
