@@ -1,14 +1,19 @@
-"""Document fingerprints of closed syncmers over words.
+"""Document fingerprints of closed syncmers.
 
-A text's words are cut into windows of ``WINDOW`` words. The hashes of the pairs of neighbouring words
+A text's units are cut into windows of ``WINDOW`` units. The hashes of the pairs of neighbouring units
 inside a window order its inner substrings; the window is chosen if the smallest of them stands at
-its start or its end. Whether a window is chosen depends on its own words only, so what two texts
-share is chosen in both, wherever it stands. The chosen windows' hashes, with their positions, are the
-anchors for matching texts by position; the set of the hashes is the fingerprint, and the likeness of
-two fingerprints is the Jaccard index of their sets.
-
-Words are what ASCII white space separates. A text without a chosen window (such as one of fewer than
-``WINDOW`` words, or an empty one) has its whole text's hash instead. NULL counts as empty.
+its start or its end. Whether a window is chosen depends on its own units only, so what two texts
+share is chosen in both, wherever it stands; of nine units in a row, at least one window is chosen. The
+set of the chosen windows' 64-bit hashes is the fingerprint, and the likeness of two fingerprints is the
+Jaccard index of their sets. The chosen windows of words can also be had with their positions (``anchors``);
+the likeness does not look at positions.
+
+Units follow the text's length, so that half of any text of five code points or more shares hashes with
+the whole: over ``SHORT`` code points they are words, with those longer than ``LONG_WORD`` taken as single
+code points (scripts without blanks, encoded text); up to ``SHORT`` they are code points; up to ``TINY``
+code points all runs of three code points count. Words are what ASCII white space separates; a run of it counts
+as one blank, at the ends as nothing. A text without any window has its whole text's hash. NULL counts as
+empty. Two texts are compared in the units of the longer one, an edited text in those of its document.
 
 The next document is the next one in ascending id; of rows that share an id the order is that of the
 text's hash, NULL ids come first, the last row is followed by the first. Ids are numbers. Rows are dealt
@@ -26,8 +31,10 @@ from pyspark.sql import functions as F
 
 from merchweave.llm.common import let, partitions
 
-WINDOW = 6  # words
-PAIRS = WINDOW - 1  # inner substrings of two words in a window
+WINDOW = 6  # units
+PAIRS = WINDOW - 1  # inner substrings of two units in a window
+TINY, SHORT = 48, 512  # code points
+LONG_WORD = 16  # code points
 SLICES_A_PARTITION = 4
 
 _SPACE = r"' \t\n\u000b\f\r'"
@@ -40,27 +47,50 @@ def _chosen(size: str = "size(g)") -> str:
     return f"filter(sequence(0, {size} - {PAIRS}), i -> ({first}) OR ({last}))"
 
 
-def _with_pairs(text: str, body: str, otherwise: str) -> str:
-    words = rf"split(btrim({text}, {_SPACE}), '[\\x20\\x09-\\x0D]+')"
+def _plain(text: str) -> str:
+    return rf"regexp_replace(btrim(coalesce({text}, ''), {_SPACE}), '[\\x20\\x09-\\x0D]+', ' ')"
+
+
+def _with_pairs(units: str, body: str, otherwise: str) -> str:
     pairs = "transform(sequence(0, size(w) - 2), j -> hash(w[j], w[j + 1]))"
-    return let(words, "w", f"if(size(w) < {WINDOW}, {otherwise}, {let(pairs, 'g', body)})")
+    return let(units, "w", f"if(size(w) < {WINDOW}, {otherwise}, {let(pairs, 'g', body)})")
 
 
-_HASH = "hash(" + ", ".join(f"g[i + {j}]" for j in dict.fromkeys([*range(0, PAIRS, 2), PAIRS - 1])) + ")"
+_HASH = "xxhash64(" + ", ".join(f"g[i + {j}]" for j in dict.fromkeys([*range(0, PAIRS, 2), PAIRS - 1])) + ")"
 
 
 def anchors(text: str) -> Column:
-    """Array of (position in words, hash) of the chosen windows, in order."""
+    """Array of (position in words, hash) of the chosen windows of words, in order."""
     body = f"transform({_chosen()}, i -> named_struct('position', i, 'hash', {_HASH}))"
-    empty = "cast(array() AS array<struct<position: int, hash: int>>)"
-    return F.expr(_with_pairs(f"coalesce({text}, '')", body, empty))
+    empty = "cast(array() AS array<struct<position: int, hash: bigint>>)"
+    return F.expr(_with_pairs(f"split({_plain(text)}, ' ')", body, empty))
+
 
+def _level(plain: str) -> str:
+    return let(f"char_length({plain})", "n", f"if(n <= {TINY}, 0, if(n <= {SHORT}, 1, 2))")
 
-def fingerprint(text: str) -> Column:
-    """Sorted array of the distinct hashes of the chosen windows."""
-    body = f"sort_array(array_distinct(transform({_chosen()}, i -> {_HASH})))"
-    found = _with_pairs(f"coalesce({text}, '')", body, "cast(array() AS array<int>)")
-    return F.expr(let(found, "f", f"if(size(f) = 0, array(hash(coalesce({text}, ''))), f)"))
+
+def level(text: str) -> Column:
+    """0 for tiny texts, 1 for short ones, 2 for those whose units are words."""
+    return F.expr(_level(_plain(text)))
+
+
+def fingerprint(text: str, at: str | None = None) -> Column:
+    """Sorted array of the distinct hashes, in the units of the text's own level or those of the column ``at``."""
+    none = "cast(array() AS array<bigint>)"
+    runs = "transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2]))"
+    tiny = let("split(p, '')", "w", f"if(size(w) < 3, {none}, {runs})")
+    windows = f"transform({_chosen()}, i -> {_HASH})"
+    cut = f"flatten(transform(v, x -> if(char_length(x) > {LONG_WORD}, split(x, ''), array(x))))"
+    words = let("split(p, ' ')", "v", f"if(exists(v, x -> char_length(x) > {LONG_WORD}), {cut}, v)")
+    found = let(
+        at or _level("p"),
+        "l",
+        f"CASE l WHEN 0 THEN {tiny} WHEN 1 THEN {_with_pairs("split(p, '')", windows, none)} "
+        f"ELSE {_with_pairs(words, windows, none)} END",
+    )
+    chosen = let(found, "f", "if(size(f) = 0, array(xxhash64(p)), sort_array(array_distinct(f)))")
+    return F.expr(let(_plain(text), "p", chosen))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -69,8 +99,8 @@ def likeness(a: str, b: str) -> Column:
 
 
 def as_text(fingerprint: str) -> Column:
-    """Eight hex digits per hash."""
-    return F.expr(f"lower(array_join(transform({fingerprint}, v -> lpad(hex(v & 4294967295L), 8, '0')), ''))")
+    """Sixteen hex digits per hash."""
+    return F.expr(f"lower(array_join(transform({fingerprint}, v -> lpad(hex(v), 16, '0')), ''))")
 
 
 def _slice(column: str, bounds: list[float]) -> Column:
@@ -88,7 +118,7 @@ def _slice(column: str, bounds: list[float]) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) with fingerprint ``f``, next_text and next_f."""
+    """(doc_id, text) with fingerprint ``f`` and its level, next_text, next_f and next_level."""
     spark = docs.sparkSession
     n = partitions(spark)
     slices = SLICES_A_PARTITION * n
@@ -108,12 +138,13 @@ def with_next(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["slice"])
         .select("doc_id", "text", "slice", "h", F.lit(True).alias("ahead"))
     )
-    dealt = rows.unionByName(follows).repartition(n, "slice").withColumn("f", fingerprint("text"))
+    dealt = rows.unionByName(follows).repartition(n, "slice").withColumn("level", level("text"))
+    dealt = dealt.withColumn("f", fingerprint("text", "level"))
     order = W.partitionBy("slice").orderBy("ahead", F.col("doc_id").asc_nulls_first(), "h")
     return (
-        dealt.withColumns({"next_text": F.lead("text").over(order), "next_f": F.lead("f").over(order)})
+        dealt.withColumns({f"next_{c}": F.lead(c).over(order) for c in ("text", "f", "level")})
         .filter("not ahead")
-        .select("doc_id", "text", "f", "next_text", "next_f")
+        .select("doc_id", "text", "f", "level", "next_text", "next_f", "next_level")
     )
 
 
@@ -124,6 +155,14 @@ def edited(docs: DataFrame) -> DataFrame:
     return (
         with_next(docs)
         .withColumn("edited", changed)
-        .withColumn("edited_f", fingerprint("edited"))
-        .withColumns({"near_edited": likeness("f", "edited_f"), "near_next": likeness("f", "next_f")})
+        .withColumns(
+            {
+                "edited_f": fingerprint("edited", "level"),
+                # Next to a longer text, or after one, a text is taken in the longer one's units.
+                "beside_f": F.when(F.expr("level < next_level"), fingerprint("text", "next_level")).otherwise(F.col("f")),
+                "next_f": F.when(F.expr("next_level < level"), fingerprint("next_text", "level")).otherwise(F.col("next_f")),
+            }
+        )
+        .withColumns({"near_edited": likeness("f", "edited_f"), "near_next": likeness("beside_f", "next_f")})
+        .drop("beside_f")
     )

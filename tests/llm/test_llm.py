@@ -173,6 +173,35 @@ def test_fingerprints_and_edited_texts(spark, docs):
     assert len(a) < len(brute_syncmers(inner))
 
 
+def test_short_texts_and_texts_without_blanks_share_with_their_edits(spark):
+    rng = np.random.default_rng(8)
+    han = lambda n: "".join(chr(int(c)) for c in rng.integers(0x4E00, 0x9FA5, n))
+    code = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"), n))
+    prose = lambda n: " ".join(code(int(k)) for k in rng.integers(2, 9, n))
+    rows = [t for n in (5, 9, 20, 48, 49, 97, 300, 512, 513, 1025, 3000) for t in (han(n), code(n))]
+    rows += [prose(n) for n in (2, 3, 5, 8, 11, 12, 20, 60, 90, 110, 170, 400)]
+    rows += [prose(4) + " " * 900 + prose(4)]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(3)
+    got = fingerprints.edited(frame).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        half = len(r.text) // 2
+        if r.text[: len(r.text) - half].strip() and len(" ".join(r.text.split())) >= 5:
+            assert 0 < r.near_edited <= 1, r.text
+        assert r.near_next < 0.1
+    pairs = [(t, t[: len(t) // 2 + 8] + "#" + t[len(t) // 2 + 8 :]) for t in (han(40), code(60), han(400), code(700), han(2000))]
+    pairs += [("a  b c\td e", " a b c d e\n")]
+    both = spark.createDataFrame(pairs, "a string, b string")
+    near = both.select(fingerprints.fingerprint("a").alias("x"), fingerprints.fingerprint("b").alias("y"))
+    found = [r[0] for r in near.select(fingerprints.likeness("x", "y")).collect()]
+    assert min(found) > 0.7 and found[-1] == 1
+    # 64 bits: no two of 300,000 runs of three code points share a hash, about ten pairs would in 32 bits.
+    kinds = spark.range(300_000).select(
+        F.expr("concat(char(id div 5625 + 161), char((id div 75) % 75 + 161), char(id % 75 + 161))").alias("text")
+    )
+    assert kinds.select(F.explode(fingerprints.fingerprint("text"))).distinct().count() == kinds.distinct().count() == 300_000
+
+
 def test_lines(spark, docs):
     texts = plain(docs)
     keys = lambda t: [x.strip(" \t\n\x0b\f\r").translate({c: c + 32 for c in range(65, 91)}) for x in t.split("\n")]
