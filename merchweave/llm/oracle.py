@@ -110,3 +110,35 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+STATEMENTS["op11_quality_cascade"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+),
+windows AS (
+    SELECT row, i, array_to_string(list_slice(w, i, i + 7), ' ') AS phrase
+    FROM (SELECT row, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)
+),
+twice AS (SELECT row, i FROM windows QUALIFY count(*) OVER (PARTITION BY row, phrase) >= 2),
+covered AS (SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(i, i + 8)) AS place FROM twice) GROUP BY row),
+m AS (
+    SELECT d.*, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+           len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS lettered,
+           len(regexp_extract_all(text, '[A-Z]')) AS capitals, len(regexp_extract_all(text, '[A-Za-z]')) AS latin,
+           len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS stutters,
+           len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•‣▪●○]'))) AS bullets,
+           len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS ellipses
+    FROM d LEFT JOIN covered ON covered.row = d.row
+),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND word_chars BETWEEN 3 * n_words AND 10 * n_words AND 10 * n_symbols <= n_words
+       AND 10 * lettered >= 8 * n_words AND 2 * capitals <= latin AND 10 * stutters <= 3 * n_words
+       AND 2 * n_dup_lines <= len(lines) AND 10 * bullets <= 9 * len(lines) AND 10 * ellipses <= 3 * len(lines) AS kept
+FROM b
+"""

@@ -14,6 +14,7 @@ from merchweave.llm import (
     line_dedup,
     mixing,
     packing,
+    quality_cascade,
     sharding,
     simhash,
     token_files,
@@ -105,3 +106,9 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicate(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+@query
+def op11_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return quality_cascade.measures(docs, quality_cascade.plan(docs))
