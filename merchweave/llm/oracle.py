@@ -142,3 +142,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND 2 * n_dup_lines <= len(lines) AND 10 * bullets <= 9 * len(lines) AND 10 * ellipses <= 3 * len(lines) AS kept
 FROM b
 """
+
+STATEMENTS["op12_phrases"] = r"""
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+t AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+occurrences AS (
+    SELECT lang, list_slice(words, i, i + k - 1) AS phrase
+    FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+          FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(words) >= k)
+),
+f AS (SELECT lang, phrase, count(*) AS a FROM occurrences GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, phrase, a, unnest(range(1, len(phrase))) AS k FROM f WHERE len(phrase) > 1),
+s AS (
+    SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r, t.n,
+           CAST((CAST(1000 AS HUGEINT) * c.a * t.n) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+    FROM cuts c JOIN t ON t.lang = c.lang
+    JOIN f x ON x.lang = c.lang AND x.phrase = list_slice(c.phrase, 1, c.k)
+    JOIN f y ON y.lang = c.lang AND y.phrase = list_slice(c.phrase, c.k + 1, len(c.phrase))
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1
+),
+inner_parts AS (
+    SELECT lang, a, list_slice(phrase, i, i + k - 1) AS phrase
+    FROM (SELECT lang, a, phrase, k, unnest(range(1, len(phrase) - k + 2)) AS i
+          FROM (SELECT lang, a, phrase, unnest(range(2, len(phrase))) AS k FROM f WHERE len(phrase) > 2))
+),
+within AS (SELECT lang, phrase, max(a) AS a FROM inner_parts GROUP BY ALL),
+kept AS (
+    SELECT s.*, array_to_string(s.phrase, ' ') AS text
+    FROM s LEFT JOIN within i ON i.lang = s.lang AND i.phrase = s.phrase WHERE i.a IS NULL OR 100 * i.a < 100 * s.a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, text) AS rank FROM kept)
+SELECT lang, rank, text AS phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""

@@ -14,6 +14,7 @@ from merchweave.llm import (
     line_dedup,
     mixing,
     packing,
+    phrases,
     quality_cascade,
     sharding,
     simhash,
@@ -112,3 +113,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return quality_cascade.measures(docs, quality_cascade.plan(docs))
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(documents(spark, sf_dir))
