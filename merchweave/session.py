@@ -50,13 +50,13 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as a Parquet table in the shared folder and read it back.
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared folder, with the writer's options, and read it back.
 
     Used where a result is read several times, or where rows carry a partition
     number that must not change if an executor is lost and a stage is rerun.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/merchweave/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
