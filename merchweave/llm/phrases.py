@@ -3,13 +3,15 @@
 Texts become blocks once: of one language, up to ``BLOCK`` word numbers in a row with a zero wherever a
 piece of text ends, and the block's own words. Everything after reads blocks with numpy.
 
-Phrases of 1, 2, ... words are taken length by length. *Candidates* are phrases that occur in some block
-often enough (a phrase that reaches the least count anywhere reaches its share of it in at least one of the
-blocks), and of which both parts one word shorter are frequent (Apriori). The frequent parts are looked up in
-a bitmap of phrase hashes of bounded size; where two hashes meet, a candidate too many is counted, never
-one too few. The candidates, at most ``MOST`` at a time, go into a double-array trie that is broadcast. Each
+*Candidates* are found length by length. A phrase can only be frequent if both parts one word shorter may be
+(Apriori) and if the occurrences of all phrases with its hash together reach the least count. The hashes are
+summed over the blocks as plain numbers; those that reach the count go into a bitmap of bounded size, by which
+the next length knows its parts. Where hashes or bitmap positions meet, there is a candidate too many, never
+one too few.
+
+The candidates of all lengths, at most ``MOST`` at a time, go into a double-array trie that is broadcast. Each
 task starts all positions of a block at the root and moves them all by one word at a time; whoever has no
-such edge is out. Accepting states are counted by bincount and the blocks' counts are summed.
+such edge is out. Accepting states are counted by bincount and the blocks' counts are summed. These counts decide.
 
 A candidate's score is that of its weakest cut in two. A candidate inside a longer one that occurs as
 often is dropped. Counts are multiplied as decimals of 38 digits.
@@ -23,6 +25,7 @@ tables give empty results. The longest text has to fit into a task's memory.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -33,16 +36,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from merchweave.llm.common import BATCH, arrow_rows
 from merchweave.session import staged
 
 LEAST = 100  # occurrences
 LONGEST = 5  # words
 SHARE = 100  # per cent of its occurrences that a longer phrase takes from a dropped one
 TOP = 2000  # phrases reported of each language
-BLOCK = 1 << 22  # symbols that a task gathers
-TASK_BYTES = 32 << 20  # text that a task reads at least, so that blocks are filled
+BLOCK = 1 << 19  # symbols of a block
 MOST = 500_000  # candidates in one trie
+BLOCKS = 8  # that go to a Python worker at a time
 MAX_BITS = 27  # of positions in a bitmap: 16 MB at any size of the corpus
+HASH_BITS = 40  # of a phrase hash that is summed over the corpus
 BITMAP = 32_768  # positions in one bitmap of bitmap_construct_agg
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -108,75 +113,107 @@ def blocks(docs: DataFrame, lang: str = "lang", text: str = "text", size: int =
 
 
 def encoded(docs: DataFrame, lang: str = "lang", text: str = "text", size: int = BLOCK) -> DataFrame:
-    """The blocks, written once. Small input splits are read together, but never by fewer tasks than can run."""
-    spark = docs.sparkSession
-    n_bytes = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(n_bytes / TASK_BYTES))
-    return staged(blocks(docs.coalesce(tasks), lang, text, size), "phrase-blocks")
+    """The blocks, written once. Parquet would put a hundred of these long rows into one page; here a page takes few."""
+    return staged(blocks(docs, lang, text, size), "phrase-blocks", **{"parquet.page.size.row.check.min": "1"})
 
 
-def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
-    """Hashes by word number; number 0 stands for no word."""
-    return np.fromiter((0, *map(xxhash.xxh3_64_intdigest, words)), np.uint64, len(words) + 1)
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    for of, words, symbols in zip(*(batch.column(c) for c in ("lang", "words", "symbols")), strict=True):
+        yield of.as_py(), words.as_py().split(b" "), np.frombuffer(symbols.as_py(), np.int32)
 
 
-def rolling(lang: str, known: np.ndarray, symbols: np.ndarray, length: int) -> np.ndarray:
-    """The hash of the ``length`` words that start at each position, whatever lies between them."""
-    n = len(symbols) - length + 1
-    out = np.full(n, xxhash.xxh3_64_intdigest(lang.encode()), np.uint64)
-    for k in range(length):
-        out = out * _MIX + known[symbols[k : k + n]]
-    return out
+Bitmap = tuple[np.ndarray, int]  # bytes, and how many bits of a hash give a place
 
 
-def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
-    for of, words, symbols in zip(*(batch.column(c) for c in ("lang", "words", "symbols")), strict=True):
-        yield of.as_py(), words.as_py().split(b" "), np.frombuffer(symbols.as_py(), np.int32)
+def holds(bitmap: Bitmap, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bitmap has both places of a hash: its first and its last bits."""
+    found, bits = bitmap
+    out = np.ones(len(hashes), bool)
+    for place in (hashes >> np.uint64(HASH_BITS - bits), hashes & np.uint64((1 << bits) - 1)):
+        out &= (found[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    return out
 
 
-def observed(corpus: DataFrame, length: int, floor: int, parts: tuple[np.ndarray, int] | None) -> DataFrame:
-    """(lang, phrase, hash) that some block holds ``floor`` times or more, with both parts in the bitmap ``parts``."""
+def possible(
+    of: str, words: list[bytes], symbols: np.ndarray, length: int, parts: Bitmap | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where phrases of ``length`` words start that have both parts in the bitmap, and their hashes."""
+    # Number 0 stands for no word.
+    known = np.fromiter((0, *map(xxhash.xxh3_64_intdigest, words)), np.uint64, len(words) + 1)
+    start = np.uint64(xxhash.xxh3_64_intdigest(of.encode()) * int(_MIX) & 0xFFFFFFFFFFFFFFFF)
+
+    def rolled(places: np.ndarray | slice, n: int) -> np.ndarray:
+        """Hashes of the ``n`` words at these places, ``HASH_BITS`` long."""
+        out = start + known[symbols[places]]
+        for k in range(1, n):
+            shifted = slice(k, len(symbols) - n + 1 + k) if isinstance(places, slice) else places + k
+            out = out * _MIX + known[symbols[shifted]]
+        return out >> np.uint64(64 - HASH_BITS)
+
+    if length == 1:
+        starts = np.flatnonzero(symbols)
+    elif len(symbols) < length:
+        starts = np.zeros(0, np.int64)
+    else:
+        good = holds(parts, rolled(slice(0, len(symbols) - length + 2), length - 1))
+        gaps = np.concatenate([[0], np.cumsum(symbols == 0)])
+        good &= gaps[length - 1 :] == gaps[: len(good)]
+        starts = np.flatnonzero(good[:-1] & good[1:])
+    return starts, rolled(starts, length)
+
+
+def gathered(corpus: DataFrame) -> DataFrame:
+    """The blocks in two tasks a core at most: what a task adds up in memory is sent once from each."""
+    return corpus.coalesce(2 * corpus.sparkSession.sparkContext.defaultParallelism)
+
+
+def hash_sums(corpus: DataFrame, length: int, parts: Bitmap | None) -> DataFrame:
+    """(hash, n): how often all phrases of a hash occur that have both parts in the bitmap."""
     shared = corpus.sparkSession.sparkContext.broadcast(parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in _unpacked(batch):
+                hashes, n = np.unique(possible(*block, length, shared.value)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], ["hash", "n"])
+
+    return corpus.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+
+
+def observed(corpus: DataFrame, length: int, parts: Bitmap | None, own: Bitmap) -> DataFrame:
+    """(lang, phrase) with the phrase's hash in the bitmap ``own`` and both its parts in ``parts``."""
+    shared = corpus.sparkSession.sparkContext.broadcast((parts, own))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, own = shared.value
+        sent: dict[str, set[bytes]] = {}
         for batch in batches:
             for of, words, symbols in _unpacked(batch):
-                known = word_hashes(of, words)
-                starts = np.flatnonzero(symbols)
-                if length > 1:
-                    bitmap, bits = shared.value
-                    place = rolling(of, known, symbols, length - 1) >> np.uint64(64 - bits)
-                    good = (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                    gaps = np.concatenate([[0], np.cumsum(symbols == 0)])
-                    good &= gaps[length - 1 :] == gaps[: len(good)]
-                    starts = np.flatnonzero(good[:-1] & good[1:])
+                starts, hashes = possible(of, words, symbols, length, parts)
+                starts = starts[holds(own, hashes)]
                 # Whole phrases as one number each: never more than block size times number of words.
                 code = symbols[starts].astype(np.int64)
                 for k in range(1, length):
-                    code = code * (len(words) + 1) + symbols[starts + k]
-                    if k < length - 1:
+                    if k > 1:
                         code = np.unique(code, return_inverse=True)[1]
-                _, first, n = np.unique(code, return_index=True, return_counts=True)
-                first = starts[first[n >= floor]]
+                    code = code * (len(words) + 1) + symbols[starts + k]
+                first = starts[np.unique(code, return_index=True)[1]]
                 phrase = [symbols[first + k].tolist() for k in range(length)]
-                texts = [b" ".join([words[w - 1] for w in row]) for row in zip(*phrase, strict=True)]
-                hashes = np.full(len(first), xxhash.xxh3_64_intdigest(of.encode()), np.uint64)
-                for k in range(length):
-                    hashes = hashes * _MIX + known[symbols[first + k]]
+                known = sent.setdefault(of, set())
+                fresh = {b" ".join([words[w - 1] for w in row]) for row in zip(*phrase, strict=True)} - known
+                known |= fresh
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([of] * len(texts), pa.string()), pa.array(texts, pa.string()), pa.array(hashes.view(np.int64))],
-                    ["lang", "phrase", "hash"],
+                    [pa.array([of] * len(fresh), pa.string()), pa.array(list(fresh), pa.string())], ["lang", "phrase"]
                 )
 
-    rows = corpus.mapInArrow(run, "lang string, phrase string, hash long")
-    return rows.groupBy("lang", "phrase").agg(F.first("hash").alias("hash"))
+    return gathered(corpus).mapInArrow(run, "lang string, phrase string").distinct()
 
 
 class Trie:
-    """A double-array trie of equally long rows of codes from 1.
+    """A double-array trie of rows of codes from 1, short rows being filled up with 0.
 
     The child of state ``s`` over code ``c`` is ``base[s] + c``, if ``check`` there says that its parent is ``s``.
-    ``accept`` gives the row that ends in a state.
+    ``accept`` gives the row that ends in a state, counted from 1, or 0.
     """
 
     def __init__(self, rows: np.ndarray):
@@ -188,16 +225,16 @@ class Trie:
         self.hint = self.top + 1
         self.base, self.check = np.zeros(0, np.int32), np.full(0, -1, np.int32)
         self._room(2 * self.top + 2)
-        state = np.zeros(n, np.int64)
-        new = np.zeros(n, bool)
+        state, ends = np.zeros(n, np.int64), (rows > 0).sum(axis=1)
         for depth in range(length):
-            new[:1] = True
-            new[1:] |= rows[1:, depth] != rows[:-1, depth]
-            parents, codes = state[new], rows[new, depth].astype(np.int64)
+            own = np.flatnonzero(ends > depth)
+            new = np.ones(len(own), bool)
+            new[1:] = (rows[own[1:], : depth + 1] != rows[own[:-1], : depth + 1]).any(axis=1)
+            parents, codes = state[own][new], rows[own, depth][new].astype(np.int64)
             self._children(parents, codes)
-            state = (self.base[parents] + codes)[np.cumsum(new) - 1]
+            state[own] = (self.base[parents] + codes)[np.cumsum(new) - 1]
         self.accept = np.zeros(len(self.check), np.int32)
-        self.accept[state] = order
+        self.accept[state] = order + 1
 
     def _room(self, size: int) -> None:
         if size > len(self.check):
@@ -243,63 +280,64 @@ class Trie:
         return moved, child[moved]
 
 
-def trie_counts(corpus: DataFrame, candidates: DataFrame, length: int) -> DataFrame:
+def trie_counts(corpus: DataFrame, candidates: DataFrame) -> DataFrame:
     """(cid, a): how often each of at most ``MOST`` candidates (cid, lang, phrase) occurs."""
     rows = candidates.select("cid", "lang", "phrase").toPandas()
     words = " ".join(rows.phrase).encode().split(b" ") if len(rows) else []
+    ends = np.asarray([p.count(" ") + 1 for p in rows.phrase], np.int64)
+    longest = int(ends.max()) if len(rows) else 0
     # Frequent words get small numbers, which packs nodes closely. A tab tells languages from words.
     marks = [b"\t" + of.encode() for of in rows.lang]
-    found, n = np.unique(np.asarray([*marks, *words], object), return_counts=True)
-    codes = {w: i + 1 for i, w in enumerate(found[np.argsort(-n, kind="stable")].tolist())}
-    matrix = np.empty((len(rows), length + 1), np.int32)
+    found = Counter(marks) + Counter(words)
+    codes = {w: i + 1 for i, (w, _) in enumerate(found.most_common())}
+    matrix = np.zeros((len(rows), longest + 1), np.int32)
     matrix[:, 0] = [codes[m] for m in marks]
-    matrix[:, 1:] = np.fromiter(map(codes.__getitem__, words), np.int32, len(words)).reshape(len(rows), length)
+    place = np.arange(len(words)) - np.repeat(np.cumsum(ends) - ends, ends)
+    matrix[np.repeat(np.arange(len(rows)), ends), place + 1] = [codes[w] for w in words]
     shared = corpus.sparkSession.sparkContext.broadcast((Trie(matrix), codes, rows.cid.to_numpy(np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, codes, cids = shared.value
+        n = np.zeros(len(cids) + 1, np.int64)
         for batch in batches:
             for of, words, symbols in _unpacked(batch):
                 root = codes.get(b"\t" + of.encode())
                 if root is None:
                     continue
                 code = np.fromiter((0, *(codes.get(w, 0) for w in words)), np.int32, len(words) + 1)[symbols]
-                code = np.concatenate([code, np.zeros(length, np.int32)])
+                code = np.concatenate([code, np.zeros(longest, np.int32)])
                 place = np.flatnonzero(code)
                 state = np.full(len(place), trie.base[0] + root, np.int32)
-                for k in range(length):
+                for k in range(longest):
                     moved, state = trie.advance(state, code[place + k])
                     place = place[moved]
-                n = np.bincount(trie.accept[state], minlength=len(cids))
-                hit = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array(cids[hit]), pa.array(n[hit].astype(np.int64))], ["cid", "n"])
+                    n += np.bincount(trie.accept[state], minlength=len(n))
+        hit = np.flatnonzero(n[1:])
+        yield pa.RecordBatch.from_arrays([pa.array(cids[hit]), pa.array(n[1:][hit])], ["cid", "n"])
 
-    return corpus.mapInArrow(run, "cid long, n long").groupBy("cid").agg(F.sum("n").alias("a"))
+    return gathered(corpus).mapInArrow(run, "cid long, n long").groupBy("cid").agg(F.sum("n").alias("a"))
 
 
-def counted(corpus: DataFrame, candidates: DataFrame, length: int, least: int, most: int = MOST) -> DataFrame:
-    """(lang, phrase, hash, a) of the candidates that reach the least count. Each trie is one pass over the blocks."""
+def counted(corpus: DataFrame, candidates: DataFrame, least: int, most: int = MOST) -> DataFrame:
+    """(lang, phrase, a) of the candidates that reach the least count. Each trie is one pass over the blocks."""
     named = staged(candidates.withColumn("cid", F.monotonically_increasing_id()), "phrase-candidates")
-    shards = math.ceil(named.count() / most)
+    shards = max(1, math.ceil(named.count() / most))
     # A quarter more shards than needed, as they are dealt by hash and not filled to the brim.
-    shards = math.ceil(1.25 * shards) if shards > 1 else shards
-    dealt = named.withColumn("shard", F.pmod(F.xxhash64("lang", "phrase"), F.lit(max(1, shards))))
+    shards = math.ceil(1.25 * shards) if shards > 1 else 1
+    dealt = named.withColumn("shard", F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)))
     parts = []
     for i in range(shards):
         own = dealt.filter(F.col("shard") == i)
-        sums = trie_counts(corpus, own, length).filter(F.col("a") >= least)
-        parts.append(staged(own.join(sums, "cid").select("lang", "phrase", "hash", "a"), "phrase-counts"))
-    return reduce(DataFrame.unionByName, parts) if parts else named.select("lang", "phrase", "hash", "cid").toDF(
-        "lang", "phrase", "hash", "a"
-    )
+        sums = trie_counts(corpus, own).filter(F.col("a") >= least)
+        parts.append(staged(own.join(sums, "cid").select("lang", "phrase", "a"), "phrase-counts"))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def bitmap_of(phrases: DataFrame, n: int) -> tuple[np.ndarray, int]:
-    """A bitmap of the phrases' hashes and the number of hash bits it takes."""
+def bitmap_of(hashes: DataFrame, n: int) -> Bitmap:
     bits = min(MAX_BITS, max(15, (64 * n).bit_length()))
-    place = F.expr(f"shiftrightunsigned(hash, {64 - bits})")
+    places = F.array(F.expr(f"shiftrightunsigned(hash, {HASH_BITS - bits})"), F.expr(f"hash & {(1 << bits) - 1}L"))
     rows = (
-        phrases.select(place.alias("p"))
+        hashes.select(F.explode(places).alias("p"))
         .groupBy(F.expr(f"p div {BITMAP}").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.col("p") % BITMAP).alias("bitmap"))
         .collect()  # at most 2**(MAX_BITS - 15) rows of 4 KB
@@ -310,26 +348,25 @@ def bitmap_of(phrases: DataFrame, n: int) -> tuple[np.ndarray, int]:
     return out, bits
 
 
-def frequent(corpus: DataFrame, least: int = LEAST, longest: int = LONGEST, most: int = MOST) -> list[DataFrame]:
-    """For every length the phrases (lang, phrase, hash, a) that occur ``least`` times or more."""
-    n_blocks = corpus.groupBy("lang").count().agg(F.max("count")).first()[0] or 1
-    floor = math.ceil(least / n_blocks)  # in one block at least, by the pigeonhole principle
+def candidates(corpus: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame | None:
+    """(lang, phrase): all phrases that may occur ``least`` times, and a few more."""
     out, parts = [], None
     for length in range(1, longest + 1):
-        if length > 1:
-            n = out[-1].count()
-            if not n:
-                break
-            parts = bitmap_of(out[-1], n)
-        out.append(counted(corpus, observed(corpus, length, floor, parts), length, least, most))
-    return out
+        sums = staged(hash_sums(corpus, length, parts).filter(F.col("n") >= least), "phrase-hashes")
+        n = sums.count()
+        if not n:
+            break
+        own = bitmap_of(sums, n)
+        out.append(staged(observed(corpus, length, parts, own), "phrases"))
+        parts = own
+    return reduce(DataFrame.unionByName, out) if out else None
 
 
-def scored(levels: list[DataFrame], totals: DataFrame) -> DataFrame:
+def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of the phrases of two words and more, at their weakest cut."""
-    every = reduce(DataFrame.unionByName, levels).select("lang", "phrase", "a")
-    long = reduce(DataFrame.unionByName, levels[1:]).select("lang", "phrase", "a")
+    every = phrases.select("lang", "phrase", "a")
     words = F.split("phrase", " ")
+    long = every.filter(F.size(words) > 1)
     cuts = long.withColumn("k", F.explode(F.sequence(F.lit(1), F.size(words) - 1))).select(
         "lang",
         "phrase",
@@ -352,10 +389,10 @@ def scored(levels: list[DataFrame], totals: DataFrame) -> DataFrame:
     return weakest.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
 
-def swallowed(levels: list[DataFrame], share: int = SHARE) -> DataFrame:
+def swallowed(phrases: DataFrame) -> DataFrame:
     """(lang, phrase, within): the count of the most frequent longer phrase that holds the phrase."""
-    longer = reduce(DataFrame.unionByName, levels[2:])
     words = F.split("phrase", " ")
+    longer = phrases.filter(F.size(words) > 2)
     inner = longer.withColumn("size", F.explode(F.sequence(F.lit(2), F.size(words) - 1))).withColumn(
         "at", F.explode(F.sequence(F.lit(1), F.size(words) - F.col("size") + 1))
     )
@@ -378,16 +415,17 @@ def mine(
     size: int = BLOCK,
 ) -> DataFrame:
     """Each language's best phrases: (lang, rank, phrase, a, l, r, n, score)."""
-    corpus = encoded(docs, lang, text, size)
-    levels = frequent(corpus, least, longest, most)
-    if len(levels) < 2:
-        return _nothing(docs.sparkSession)
+    spark = docs.sparkSession
+    with arrow_rows(spark, BATCH):
+        corpus = encoded(docs, lang, text, size)
+    with arrow_rows(spark, BLOCKS):
+        found = candidates(corpus, least, longest)
+        if found is None:
+            return _nothing(spark)
+        frequent = counted(corpus, found, least, most)
     totals = corpus.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    left = scored(levels, totals)
-    if len(levels) > 2:
-        left = left.join(swallowed(levels, share), ["lang", "phrase"], "left").filter(
-            F.col("within").isNull() | (100 * F.col("within") < share * F.col("a"))
-        )
+    inside = (F.col("within") * 100 >= F.lit(share) * F.col("a")) & F.col("within").isNotNull()
+    left = scored(frequent, totals).join(swallowed(frequent), ["lang", "phrase"], "left").filter(~inside)
     place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase")))
     return (
         left.withColumn("rank", place)

@@ -99,7 +99,7 @@ def test_trie_accepts_its_rows_only(seed, codes, length, n):
         for k in range(length):
             moved, state = trie.advance(state, keys[place, k])
             place = place[moved]
-        return dict(zip(place.tolist(), trie.accept[state].tolist(), strict=True))
+        return dict(zip(place.tolist(), (trie.accept[state] - 1).tolist(), strict=True))
 
     assert walk(rows) == {i: i for i in range(len(rows))}
     other = rng.integers(0, codes + 1, (2000, length)).astype(np.int32)
@@ -109,10 +109,8 @@ def test_trie_accepts_its_rows_only(seed, codes, length, n):
 
 def test_scores_are_exact_beyond_64_bits(spark):
     big = 3 * 10**12 + 7
-    levels = [
-        spark.createDataFrame([("en", "a", big), ("en", "b", big - 3)], "lang string, phrase string, a long"),
-        spark.createDataFrame([("en", "a b", 10**12 + 1)], "lang string, phrase string, a long"),
-    ]
+    counts = [("en", "a", big), ("en", "b", big - 3), ("en", "a b", 10**12 + 1)]
+    levels = spark.createDataFrame(counts, "lang string, phrase string, a long")
     totals = spark.createDataFrame([("en", 9 * 10**13 + 11)], "lang string, n long")
     got = phrases.scored(levels, totals).first()
     assert got.score == 1000 * (10**12 + 1) * (9 * 10**13 + 11) // (big * (big - 3))
@@ -122,3 +120,21 @@ def test_query_equals_sql(spark):
     name, sf = "op12_phrases", "/root/testdata/sf0.001"
     result, _ = compare(name, REGISTERED[name](spark, sf), connect(sf), STATEMENTS[name])
     assert result == "ok"
+
+
+def test_trie_of_rows_of_many_lengths():
+    rng = np.random.default_rng(6)
+    rows = rng.integers(1, 9, (500, 4)).astype(np.int32)
+    rows[np.arange(4) >= rng.integers(1, 5, 500)[:, None]] = 0
+    rows = rng.permutation(np.unique(rows, axis=0))
+    trie = phrases.Trie(rows)
+    known = {tuple(x for x in r if x): i + 1 for i, r in enumerate(rows.tolist())}
+    for keys in (rows, rng.integers(1, 9, (3000, 4)).astype(np.int32)):
+        for key in keys:
+            state, seen = np.zeros(1, np.int32), ()
+            for c in key[key > 0]:
+                moved, state = trie.advance(state, np.asarray([c]))
+                seen += (int(c),)
+                assert (int(trie.accept[state[0]]) if moved[0] else 0) == known.get(seen, 0)
+                if not moved[0]:
+                    break
