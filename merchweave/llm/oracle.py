@@ -180,3 +180,29 @@ kept AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, text) AS rank FROM kept)
 SELECT lang, rank, text AS phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 """
+
+STATEMENTS["op13_hard_negatives"] = """
+WITH r AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+    SELECT a.id AS anchor_id, b.id, a.label = b.label AS same,
+           CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM r a JOIN r b ON a.id % 100 = 0 AND a.id <> b.id
+),
+p AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+),
+n AS (
+    SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+     AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""

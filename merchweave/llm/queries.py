@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from merchweave.llm import (
     exact_dedup,
     fingerprints,
+    hard_negatives,
     language_model,
     line_dedup,
     mixing,
@@ -118,3 +119,19 @@ def op11_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(documents(spark, sf_dir))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels shifted for every seventh id, components in whole 256ths; rows with a component that is no number go."""
+    finite = F.forall("embedding", lambda x: ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    rows = (
+        spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+        .filter(finite)
+        .select(
+            F.col("vec_id").alias("id"),
+            F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+            F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("v"),
+        )
+    )
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
