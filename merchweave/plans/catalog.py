@@ -21,15 +21,18 @@ from merchweave.functions.scalars import (
 )
 from merchweave.operators import (
     cleaning,
+    cooccurrence,
     corating,
     eda,
     features,
     metrics,
     neighbours,
+    places,
     quality,
     ratings,
     recommend,
     text,
+    timing,
     transactions,
 )
 from merchweave.plans.pipeline import Shop
@@ -991,3 +994,45 @@ def stream_dedupe(shop: Shop) -> DataFrame:
     twice = stream.unionByName(events.event_stream(shop.spark, shop.sf_dir))
     events.drain(events.without_repeats(twice), target, checkpoint)
     return shop.spark.read.parquet(target).select("event_id", "user_id", "event_type", "value")
+
+
+# ---- what is bought together, when and where ----
+
+
+@query
+def item_cooccurrence(shop: Shop) -> DataFrame:
+    return cooccurrence.bought_together(shop.role("order_items"), "order_id", "product_id")
+
+
+@query
+def category_cooccurrence(shop: Shop) -> DataFrame:
+    named = shop.role("order_items").select("order_id", "product_id").join(shop.product_categories, "product_id")
+    return cooccurrence.bought_together(named, "order_id", "category_english", k=5)
+
+
+@query
+def repeat_gap(shop: Shop) -> DataFrame:
+    people = shop.all_customers.select("customer_id", "customer_unique_id")
+    return timing.repeat_gaps(
+        shop.orders.join(people, "customer_id"), "customer_unique_id", "order_id", "order_purchase_timestamp"
+    )
+
+
+@query
+def temporal_split(shop: Shop) -> DataFrame:
+    lines = shop.all_lines.filter(F.col("customer_unique_id").isNotNull()).select(
+        "customer_unique_id", "product_id", "order_id", "order_purchase_timestamp"
+    )
+    return timing.temporal_split(lines.distinct(), "order_purchase_timestamp")
+
+
+@query
+def geo_distance(shop: Shop) -> DataFrame:
+    return places.distance_bands(
+        shop.role("order_items"), shop.orders, shop.all_customers, shop.role("sellers"), shop.role("geolocation")
+    )
+
+
+@query
+def regional_pref(shop: Shop) -> DataFrame:
+    return places.regional_preferences(shop.all_lines, "customer_state", "category_english")

@@ -1051,6 +1051,73 @@ SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS
 SQL["stream_dedupe"] = "SELECT event_id, user_id, event_type, value FROM events"
 
 
+# ---- what is bought together, when and where ----
+def _together(baskets: str, item: str, k: int) -> str:
+    """Partners by a self-join; ``baskets`` gives (basket, item)."""
+    return f"""
+WITH b AS (SELECT DISTINCT basket, item FROM ({baskets}) WHERE basket IS NOT NULL AND item IS NOT NULL),
+n AS (SELECT item, CAST(count(*) AS DOUBLE) AS n FROM b GROUP BY item),
+t AS (SELECT CAST(count(DISTINCT basket) AS DOUBLE) AS n FROM b),
+p AS (
+  SELECT x.item, y.item AS partner, count(*) AS n_both FROM b x JOIN b y ON x.basket = y.basket AND x.item <> y.item GROUP BY ALL),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY n_both DESC, partner) AS INTEGER) AS rank FROM p)
+SELECT k.item AS {item}, k.rank, k.partner, k.n_both, {r('n_both / t.n', 9)} AS support, {r('n_both / i.n', 9)} AS confidence,
+       {r('n_both * t.n / (i.n * j.n)', 9)} AS lift
+FROM k JOIN n i ON i.item = k.item JOIN n j ON j.item = k.partner, t WHERE k.rank <= {k}"""
+
+
+SQL["item_cooccurrence"] = _together("SELECT order_id AS basket, product_id AS item FROM s_order_items", "product_id", 10)
+SQL["category_cooccurrence"] = _together(
+    "SELECT order_id AS basket, category_english AS item FROM s_order_items JOIN p_category USING (product_id)",
+    "category_english",
+    5,
+)
+SQL["repeat_gap"] = f"""
+SELECT customer_unique_id, order_id, previous_order_id, {r('CAST(epoch_us(moment) - epoch_us(previous) AS DOUBLE) / 86400000000', 6)} AS gap_days
+FROM (
+  SELECT customer_unique_id, order_id, order_purchase_timestamp AS moment, lag(order_id) OVER w AS previous_order_id,
+         lag(order_purchase_timestamp) OVER w AS previous
+  FROM s_orders JOIN c_all_customers USING (customer_id)
+  WINDOW w AS (PARTITION BY customer_unique_id ORDER BY order_purchase_timestamp, order_id))
+WHERE previous_order_id IS NOT NULL"""
+SQL["temporal_split"] = """
+WITH l AS (
+  SELECT DISTINCT customer_unique_id, product_id, order_id, order_purchase_timestamp FROM all_lines WHERE customer_unique_id IS NOT NULL),
+c AS (SELECT order_purchase_timestamp AS moment, row_number() OVER (ORDER BY order_purchase_timestamp) AS p, count(*) OVER () AS n FROM l),
+cut AS (SELECT min(moment) AS moment FROM c WHERE p >= greatest(1, ceil(n * 0.8::DOUBLE)))
+SELECT l.*, CASE WHEN order_purchase_timestamp <= cut.moment THEN 'train' ELSE 'test' END AS split FROM l, cut"""
+VIEWS["centroids"] = """
+SELECT geolocation_zip_code_prefix AS zip, CAST(sum(CAST(geolocation_lat AS DECIMAL(12,6))) AS DOUBLE) / count(*) AS lat,
+       CAST(sum(CAST(geolocation_lng AS DECIMAL(12,6))) AS DOUBLE) / count(*) AS lng
+FROM s_points WHERE geolocation_lat BETWEEN -60 AND 10 AND geolocation_lng BETWEEN -80 AND -30 GROUP BY 1"""
+_KM = r(
+    "2 * 6371.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin(radians(b.lat - a.lat) / 2), 2) "
+    "+ cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))))",
+    3,
+)
+SQL["geo_distance"] = f"""
+SELECT customer_state, distance_band, count(*) AS n_lines,
+       {r('CAST(sum(CAST(round_even(km * 1000, 0) AS BIGINT)) AS DOUBLE) / count(*) / 1000', 3)} AS mean_km
+FROM (
+  SELECT customer_state, km, CASE WHEN km IS NULL THEN 'unknown' WHEN km < 100 THEN '0-100' WHEN km < 500 THEN '100-500'
+         WHEN km < 1000 THEN '500-1000' WHEN km < 2500 THEN '1000-2500' WHEN km < 5000 THEN '2500-5000' ELSE '5000+' END AS distance_band
+  FROM (
+    SELECT customer_state, {_KM} AS km
+    FROM s_order_items JOIN s_orders USING (order_id) JOIN c_all_customers USING (customer_id) JOIN s_sellers USING (seller_id)
+    LEFT JOIN centroids a ON a.zip = customer_zip_code_prefix LEFT JOIN centroids b ON b.zip = seller_zip_code_prefix))
+GROUP BY 1, 2"""
+SQL["regional_pref"] = f"""
+WITH c AS (
+  SELECT customer_state, category_english, count(*) AS n_lines FROM all_lines
+  WHERE customer_state IS NOT NULL AND category_english IS NOT NULL GROUP BY 1, 2),
+s AS (
+  SELECT *, CAST(n_lines AS DOUBLE) / sum(n_lines) OVER (PARTITION BY customer_state) AS share,
+         sum(n_lines) OVER (PARTITION BY category_english) / (SELECT CAST(sum(n_lines) AS DOUBLE) FROM c) AS overall FROM c)
+SELECT customer_state, category_english, n_lines,
+       CAST(row_number() OVER (PARTITION BY customer_state ORDER BY n_lines DESC, category_english) AS INTEGER) AS rank,
+       {r('share', 9)} AS region_share, {r('share / overall', 9)} AS preference FROM s"""
+
+
 def _needed(sql: str) -> list[str]:
     """Named subqueries a statement mentions, each after those it needs itself."""
     order: list[str] = []

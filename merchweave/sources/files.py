@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merchweave.functions.ordering import positions
+from merchweave.functions.selection import first_by_hash
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
@@ -70,16 +70,14 @@ def hash_order(key: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
 
 
-def sample_rows(df: DataFrame, n: int | Column, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows in a seeded random order, for samples of any size."""
-    shuffled = df.withColumn("_hash", hash_order(key, seed))
-    limit = F.lit(n) if isinstance(n, int) else n
-    return positions(shuffled, ["_hash", *key], name="_p").filter(F.col("_p") <= limit).drop("_hash", "_p")
+def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
+    """Exactly ``n`` rows in a seeded random order, for samples of any size; all rows if there are fewer."""
+    return first_by_hash(df.withColumn("_hash", hash_order(key, seed)), "_hash", key, n).drop("_hash")
 
 
 def sample_percent(df: DataFrame, percent: float, key: Sequence[str], seed: int = 42) -> DataFrame:
     """max(1, round(rows * percent / 100)) rows."""
-    rows = df.agg(F.greatest(F.lit(1), F.rint(F.count("*") * F.lit(percent) / 100).cast("long"))).scalar()
+    rows = df.agg(F.greatest(F.lit(1), F.rint(F.count("*") * F.lit(percent) / 100).cast("long"))).first()[0]
     return sample_rows(df, rows, key, seed)
 
 
