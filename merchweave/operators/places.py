@@ -16,10 +16,10 @@ BANDS = (100, 500, 1000, 2500, 5000)  # km
 
 
 def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
-    """Distance over a sphere."""
+    """Distance over a sphere; NULL if a coordinate is."""
     dlat, dlng = F.radians(lat2 - lat1) / 2, F.radians(lng2 - lng1) / 2
     h = F.sin(dlat) * F.sin(dlat) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(dlng) * F.sin(dlng)
-    return 2 * EARTH_KM * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    return 2 * EARTH_KM * F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h)))
 
 
 def zip_centroids(points: DataFrame) -> DataFrame:

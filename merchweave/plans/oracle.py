@@ -1090,11 +1090,11 @@ VIEWS["centroids"] = """
 SELECT geolocation_zip_code_prefix AS zip, CAST(sum(CAST(geolocation_lat AS DECIMAL(12,6))) AS DOUBLE) / count(*) AS lat,
        CAST(sum(CAST(geolocation_lng AS DECIMAL(12,6))) AS DOUBLE) / count(*) AS lng
 FROM s_points WHERE geolocation_lat BETWEEN -60 AND 10 AND geolocation_lng BETWEEN -80 AND -30 GROUP BY 1"""
-_KM = r(
-    "2 * 6371.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin(radians(b.lat - a.lat) / 2), 2) "
-    "+ cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))))",
-    3,
+_H = (
+    "(pow(sin(radians(b.lat - a.lat) / 2), 2) "
+    "+ cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2))"
 )
+_KM = r(f"2 * 6371.0::DOUBLE * asin(sqrt(CASE WHEN {_H} > 1 THEN 1.0::DOUBLE ELSE {_H} END))", 3)
 SQL["geo_distance"] = f"""
 SELECT customer_state, distance_band, count(*) AS n_lines,
        {r('CAST(sum(CAST(round_even(km * 1000, 0) AS BIGINT)) AS DOUBLE) / count(*) / 1000', 3)} AS mean_km
