@@ -24,6 +24,7 @@ from merchweave.operators import (
     cooccurrence,
     corating,
     eda,
+    factorization,
     features,
     metrics,
     neighbours,
@@ -65,6 +66,8 @@ RAW_TABLES = [
 ]
 SAMPLE_PERCENT = 10.0
 TRAINING_SAMPLE = 1000
+# A registered query has to end in a minute or two; the operator's own default is 200.
+NMF_ROUNDS = 5
 
 
 def query(fn: Query) -> Query:
@@ -902,6 +905,21 @@ def als_nonneg(shop: Shop) -> DataFrame:
     return ratings.factor_model(shop.train, shop.test)
 
 
+@query
+def nmf_update(shop: Shop) -> DataFrame:
+    """Both factors after the first round."""
+    model = factorization.matrix_model(shop.train, shop.test, rounds=1)
+    both = factorization.long_factor(model.users, "user", "user").unionByName(
+        factorization.long_factor(model.items, "item", "item")
+    )
+    return both.withColumn("value", round_half_even(F.col("value"), 9))
+
+
+@query
+def nmf_rating(shop: Shop) -> DataFrame:
+    return factorization.matrix_ratings(shop.train, shop.test, rounds=NMF_ROUNDS)
+
+
 def _model_results(shop: Shop) -> DataFrame:
     """Test errors and NDCG@10 of the blended mean and of the product mean."""
     by_blend = ratings.blend_rating(shop.test, shop.train)

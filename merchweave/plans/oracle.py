@@ -1118,6 +1118,37 @@ SELECT customer_state, category_english, n_lines,
        {r('share', 9)} AS region_share, {r('share / overall', 9)} AS preference FROM s"""
 
 
+# Long form: one row per id and component.
+def _start(ids: str, kind: str) -> str:
+    return f"""
+SELECT id, j, CAST(CAST('0x' || substr(md5(concat_ws('|', '{kind}', CAST(id AS VARCHAR), CAST(j AS VARCHAR))), 1, 8) AS BIGINT) AS DOUBLE)
+       / 4294967296.0::DOUBLE * (SELECT scale FROM nmf_scale) AS v
+FROM (SELECT DISTINCT {ids} AS id FROM training), (SELECT unnest(range(20)) AS j)"""
+
+
+def _nmf_step(own: str, own_key: str, other: str, other_key: str) -> str:
+    return f"""
+WITH g AS (SELECT a.j, b.j AS k, sum(a.v * b.v) AS v FROM {other} a JOIN {other} b ON a.id = b.id GROUP BY a.j, b.j),
+s AS (SELECT x.{own_key} AS id, f.j, sum(x.x * f.v) AS v FROM nmf_x x JOIN {other} f ON f.id = x.{other_key} GROUP BY ALL),
+d AS (SELECT f.id, g.j, sum(g.v * f.v) AS v FROM {own} f JOIN g ON g.k = f.j GROUP BY ALL)
+SELECT f.id, f.j, coalesce(s.v, 0) * f.v / greatest(d.v, 1e-12) AS v
+FROM {own} f JOIN d ON d.id = f.id AND d.j = f.j LEFT JOIN s ON s.id = f.id AND s.j = f.j"""
+
+
+VIEWS["nmf_x"] = """
+SELECT customer_unique_id AS u, product_id AS i, CAST(rating AS DOUBLE) AS x FROM training WHERE split = 'train' AND rating > 0"""
+VIEWS["nmf_scale"] = """
+SELECT sqrt((SELECT sum(x) FROM nmf_x) / CAST(count(DISTINCT customer_unique_id) * count(DISTINCT product_id) AS DOUBLE) / 20) AS scale
+FROM training"""
+VIEWS["nmf_w0"] = _start("customer_unique_id", "user")
+VIEWS["nmf_h0"] = _start("product_id", "item")
+VIEWS["nmf_w1"] = _nmf_step("nmf_w0", "u", "nmf_h0", "i")
+VIEWS["nmf_h1"] = _nmf_step("nmf_h0", "i", "nmf_w1", "u")
+SQL["nmf_update"] = f"""
+SELECT 'user' AS kind, id, CAST(j AS INTEGER) AS component, {r('v', 9)} AS value FROM nmf_w1
+UNION ALL SELECT 'item', id, CAST(j AS INTEGER), {r('v', 9)} FROM nmf_h1"""
+
+
 def _needed(sql: str) -> list[str]:
     """Named subqueries a statement mentions, each after those it needs itself."""
     order: list[str] = []

@@ -60,3 +60,14 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     path = f"{shared_dir(spark)}/merchweave/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``staged`` wrote, once nothing will read it any more."""
+    spark = df.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        if "/merchweave/" not in folder:
+            raise ValueError(f"{folder} is no staged table")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -41,8 +41,8 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_query_has_sql_or_a_reason():
     missing = set(entry.queries()) - set(entry.oracle_sql()) - set(entry.LLM_QUERIES)
-    # File names and sizes differ per run; factors are random.
-    assert missing == {"als_nonneg", "lake_catalog", "lake_stats"}
+    # File names and sizes differ per run; factors are random, or need many rounds (tests/test_factorization.py).
+    assert missing == {"als_nonneg", "lake_catalog", "lake_stats", "nmf_rating"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
