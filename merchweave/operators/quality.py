@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from merchweave.functions.ordering import exact_medians
 from merchweave.functions.scalars import round_half_even
+from merchweave.sources import files
 
 PASS, WARNING, ERROR = "PASS", "WARNING", "ERROR"
 
@@ -144,6 +146,58 @@ def check_schema(df: DataFrame, table: str, expected: Sequence[str]) -> DataFram
     return df.sparkSession.range(1).select(F.lit(table).alias("table_name"), F.inline(F.array(*entries)))
 
 
+def schema_differences(actual: T.StructType, expected: T.StructType) -> list[tuple[str, str, int, str]]:
+    """(check, severity, violations, detail): columns that are missing, extra or of another type; one PASS if none.
+
+    A renamed column is one missing and one extra. Nullability does not count.
+    """
+    have = {f.name: f.dataType.simpleString() for f in actual}
+    want = {f.name: f.dataType.simpleString() for f in expected}
+    missing, extra = sorted(set(want) - set(have)), sorted(set(have) - set(want))
+    retyped = [f"{c}: {have[c]} instead of {want[c]}" for c in sorted(set(have) & set(want)) if have[c] != want[c]]
+    found = [
+        ("schema_missing_columns", ERROR, len(missing), ", ".join(missing)),
+        ("schema_extra_columns", WARNING, len(extra), ", ".join(extra)),
+        ("schema_types", ERROR, len(retyped), ", ".join(retyped)),
+    ]
+    return [x for x in found if x[2]] or [("schema_match", PASS, 0, "")]
+
+
+def check_files(spark: SparkSession, tables: Mapping[str, str], expected: Mapping[str, T.StructType], fmt: str = "parquet") -> DataFrame:
+    """Every file of every table against the expected schema, with the rows it holds.
+
+    ``tables`` gives each table's path. (table_name, file_name, check_name, severity, violations, detail, n_rows): one
+    row per difference and file, or one PASS row per file. A table that cannot be opened is an ERROR without a file.
+    """
+    # Spark writes one path with one slash behind the scheme here and with three there.
+    same_path = F.regexp_replace("file_path", r"^(\w+):/+", "$1:/")
+    parts = []
+    for table, path in tables.items():
+        try:
+            schemas = files.file_schemas(spark, path, fmt)
+        except AnalysisException as broken:
+            rows = [(None, "schema_unreadable", ERROR, 1, str(broken.getCondition()))]
+            sizes = None
+        else:
+            rows = [(f, *d) for f, schema in schemas.items() for d in schema_differences(schema, expected[table])]
+            sizes = files.file_sizes(spark, path, fmt).withColumn("file_path", same_path)
+        found = spark.createDataFrame(
+            rows, "file_path string, check_name string, severity string, violations long, detail string"
+        ).withColumns({"table_name": F.lit(table), "file_path": same_path})
+        counted = found.withColumn("n_rows", F.lit(0).cast("long")) if sizes is None else found.join(sizes, "file_path", "left")
+        parts.append(counted)
+    name = F.element_at(F.split("file_path", "/"), -1)
+    return union_all(parts).select(
+        "table_name",
+        name.alias("file_name"),
+        "check_name",
+        "severity",
+        "violations",
+        "detail",
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+    )
+
+
 def _entry(check: str, severity: str, violations: Column, detail: Column | None = None) -> Column:
     """One check as a struct; it passes if there are no violations."""
     n = violations.cast("long")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchweave.functions.ordering import ranked_values
 from merchweave.functions.scalars import (
@@ -216,9 +217,19 @@ def _checks(shop: Shop) -> DataFrame:
     return quality.validate(shop.sources, SPECS, shop.spark)
 
 
+# What the raw files should hold, with a column too many, one too few and one of another type on purpose.
+FILE_COLUMNS = {
+    **roles.SCHEMAS,
+    "customer": roles.SCHEMAS["customer"] + ", c_email string",
+    "lineitem": roles.SCHEMAS["lineitem"].replace("l_tax double, ", ""),
+    "documents": roles.SCHEMAS["documents"].replace("n_chars bigint", "n_chars int"),
+}
+
+
 @query
 def dq_schema(shop: Shop) -> DataFrame:
-    return quality.union_all([quality.check_schema(shop.sources[t], t, s.columns) for t, s in SPECS.items()])
+    paths = {t: f"{shop.sf_dir}/{t}.parquet" for t in RAW_TABLES}
+    return quality.check_files(shop.spark, paths, {t: T.StructType.fromDDL(FILE_COLUMNS[t]) for t in RAW_TABLES})
 
 
 @query

@@ -648,7 +648,6 @@ SQL["constraint_check"] = UNION.join(
 )
 
 # ---- quality ----
-SQL["dq_schema"] = SCHEMA_CHECKS
 SQL["dq_missing"] = UNION.join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS missing_count, "
     f"{r(f'CAST(count(*) - count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100', 2)} AS missing_pct, "
@@ -1149,6 +1148,51 @@ SELECT 'user' AS kind, id, CAST(j AS INTEGER) AS component, {r('v', 9)} AS value
 UNION ALL SELECT 'item', id, CAST(j AS INTEGER), {r('v', 9)} FROM nmf_h1"""
 
 
+# Columns and types of the raw files, with three differences on purpose.
+_LONG = "doc_id vec_id event_id user_id page_id item_id conv_id turn n_chars".split()
+_NUMBERS = "value l_quantity l_extendedprice l_discount l_tax s_acctbal c_acctbal o_totalprice p_retailprice".split()
+_SHORT = "quality toxic label l_linenumber p_size n_nationkey n_regionkey r_regionkey c_nationkey s_nationkey".split()
+
+
+def _file_type(column: str) -> str:
+    if column in _LONG or (column.endswith("key") and column not in _SHORT):
+        return "bigint"
+    if column in _SHORT:
+        return "int"
+    if column in _NUMBERS:
+        return "double"
+    return {"ts": "timestamp_ntz", "o_orderdate": "timestamp_ntz", "l_shipdate": "timestamp_ntz", "embedding": "array<float>"}.get(column, "string")
+
+
+def _file_check(t: str) -> str:
+    want = {c: _file_type(c) for c in RAW[t].split(",")}
+    if t == "customer":
+        want["c_email"] = "string"
+    if t == "lineitem":
+        del want["l_tax"]
+    if t == "documents":
+        want["n_chars"] = "int"
+    values = ", ".join(f"('{c}', '{k}')" for c, k in want.items())
+    return f"""
+SELECT '{t}' AS table_name, '{t}.parquet' AS file_name, check_name, severity, violations, detail, (SELECT count(*) FROM {t}) AS n_rows
+FROM (
+  WITH want(c, k) AS (VALUES {values}),
+  have AS (
+    SELECT column_name AS c, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+           WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(column_type) END AS k FROM (DESCRIBE {t})),
+  found AS (
+    SELECT 'schema_missing_columns' AS check_name, 'ERROR' AS severity, count(*) AS violations, string_agg(c, ', ' ORDER BY c) AS detail
+    FROM want WHERE c NOT IN (SELECT c FROM have)
+    UNION ALL SELECT 'schema_extra_columns', 'WARNING', count(*), string_agg(c, ', ' ORDER BY c) FROM have WHERE c NOT IN (SELECT c FROM want)
+    UNION ALL SELECT 'schema_types', 'ERROR', count(*), string_agg(want.c || ': ' || have.k || ' instead of ' || want.k, ', ' ORDER BY want.c)
+    FROM want JOIN have ON want.c = have.c WHERE want.k <> have.k)
+  SELECT * FROM found WHERE violations > 0
+  UNION ALL SELECT 'schema_match', 'PASS', 0, '' WHERE (SELECT sum(violations) FROM found) = 0)"""
+
+
+SQL["dq_schema"] = UNION.join(_file_check(t) for t in RAW)
+
+
 def _needed(sql: str) -> list[str]:
     """Named subqueries a statement mentions, each after those it needs itself."""
     order: list[str] = []

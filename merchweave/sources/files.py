@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from pyspark.sql import types as T
 
 from merchweave.functions.selection import first_by_hash
 
+# How files are opened when their own schema is asked for.
+READ_OPTIONS = {"csv": {"header": "true", "inferSchema": "true"}}
+
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
     """Typed CSV scan. ``multi_line`` is for tables with line breaks inside quoted text;
@@ -127,3 +131,23 @@ def save_tables(tables: dict[str, DataFrame]) -> None:
     """Replace catalogue tables."""
     for name, df in tables.items():
         df.write.mode("overwrite").saveAsTable(name)
+
+
+def file_schemas(spark: SparkSession, path: str, fmt: str = "parquet", threads: int = 16) -> dict[str, T.StructType]:
+    """The schema each file of a table has by itself, read from its own footer or header before any is declared.
+
+    Only names and types come to the driver, one small read per file, several at a time.
+    """
+    files = sorted(spark.read.format(fmt).options(**READ_OPTIONS.get(fmt, {})).load(path).inputFiles())
+
+    def schema(file: str) -> T.StructType:
+        return spark.read.format(fmt).options(**READ_OPTIONS.get(fmt, {})).load(file).schema
+
+    with ThreadPoolExecutor(threads) as pool:
+        return dict(zip(files, pool.map(schema, files), strict=True))
+
+
+def file_sizes(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """(file_path, n_rows) of every file of a table that has rows."""
+    rows = spark.read.format(fmt).options(**READ_OPTIONS.get(fmt, {})).load(path)
+    return rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count("*").alias("n_rows"))
