@@ -85,7 +85,7 @@ def tiles(rows: DataFrame, size: int = TILE) -> tuple[DataFrame, int]:
     if levels > 1 and width:
         spread = rows.agg(*[F.var_pop(F.get("v", F.lit(i))).alias(str(i)) for i in range(width)]).first()
         along += [F.get("v", F.lit(i)) for i in sorted(range(width), key=lambda i: (-spread[i], i))]
-    out, number = rows.withColumn("tile", F.lit(0).cast("long")), 1
+    out, number = rows.withColumn("tile", F.pmod("id", F.lit(1))), 1  # all in tile 0
     for coordinate in along[:levels]:
         # Equal values are dealt by a fraction of one between them and the next.
         fraction = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 20)) / F.lit(float(1 << 20))
