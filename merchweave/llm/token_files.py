@@ -13,8 +13,8 @@ without reading those before it. All numbers are little-endian:
     u16 position of each exception
     u32 high part (value >> width) of each exception
 
-The width is the smallest one that holds ``PERCENTILE`` percent of the block's values, unless another
-makes the block smaller in total (an exception costs 48 bits). ``doc_ids`` and ``doc_lengths`` list a
+The width is the smallest one that holds ``PERCENTILE`` percent of the block's values; the others are
+exceptions of 48 bits. ``doc_ids`` and ``doc_lengths`` list a
 segment's documents. Segments are written by Spark as Parquet, so a lost task leaves no half-written
 files and any store that Spark writes to will do.
 
@@ -45,15 +45,11 @@ _POWERS = np.asarray([1 << i for i in range(32)], np.uint32)
 
 
 def _widths(need: np.ndarray) -> np.ndarray:
-    """The width of every row of ``need``, the bits of its values."""
+    """The smallest width of every row that holds ``PERCENTILE`` percent of its values; ``need`` has their bits."""
     rows, n = need.shape
     at_width = np.bincount((np.arange(rows)[:, None] * 33 + need).ravel(), minlength=rows * 33).reshape(rows, 33)
     over = n - np.cumsum(at_width, axis=1)  # exceptions by width
-    chosen = np.argmax(over <= n * (100 - PERCENTILE) / 100, axis=1)
-    cost = np.arange(33) * n + 48 * over
-    cheapest = cost.argmin(axis=1)
-    every = np.arange(rows)
-    return np.where(cost[every, chosen] <= cost[every, cheapest], chosen, cheapest)
+    return np.argmax(over <= n * (100 - PERCENTILE) / 100, axis=1)
 
 
 def _pack_rows(ids: np.ndarray) -> list[bytes]:
