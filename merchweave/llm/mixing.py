@@ -97,8 +97,27 @@ def mix(
     topics: Column | None = None,
 ) -> DataFrame:
     """Add __topic, __tokens, __probability and __kept to every row of ``docs``."""
+    return _mixed(_marked(docs, text, topics), id_column, powers, keep)
+
+
+def judge(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    powers: Mapping[str, float] = POWERS,
+    keep: float = KEEP,
+    topics: Column | None = None,
+) -> DataFrame:
+    """What ``mix`` gives without the texts, each of which is read once: its marks are written and used for both steps."""
+    return _mixed(staged(_marked(docs, text, topics).drop(text), "marks"), id_column, powers, keep)
+
+
+def _marked(docs: DataFrame, text: str, topics: Column | None) -> DataFrame:
+    return docs.withColumns({"__topic": topics if topics is not None else topic(text), "__tokens": n_words(text) + 1})
+
+
+def _mixed(marked: DataFrame, id_column: str, powers: Mapping[str, float], keep: float) -> DataFrame:
     names = {dim: "__topic" if dim == "topic" else dim for dim in powers}
-    marked = docs.withColumns({"__topic": topics if topics is not None else topic(text), "__tokens": n_words(text) + 1})
     cells = staged(
         marked.groupBy(*[F.col(c).alias(dim) for dim, c in names.items()]).agg(F.sum("__tokens").alias("tokens")), "cells"
     )

@@ -60,7 +60,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir)).select(
+    return mixing.judge(documents(spark, sf_dir).select("doc_id", "source", "lang", "text")).select(
         "doc_id",
         "source",
         "lang",
