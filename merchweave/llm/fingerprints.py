@@ -4,16 +4,19 @@ A text's units are cut into windows of ``WINDOW`` units. The hashes of the pairs
 inside a window order its inner substrings; the window is chosen if the smallest of them stands at
 its start or its end. Whether a window is chosen depends on its own units only, so what two texts
 share is chosen in both, wherever it stands; of nine units in a row, at least one window is chosen. The
-set of the chosen windows' 64-bit hashes is the fingerprint, and the likeness of two fingerprints is the
-Jaccard index of their sets. The chosen windows of words can also be had with their positions (``anchors``);
+set of the chosen windows' hashes (62 bits and the kind) is the fingerprint, and the likeness of two
+fingerprints is the Jaccard index of their sets. The chosen windows of words can also be had with their positions (``anchors``);
 the likeness does not look at positions.
 
-Units follow the text's length, so that half of any text of five code points or more shares hashes with
-the whole: over ``SHORT`` code points they are words, with those longer than ``LONG_WORD`` taken as single
-code points (scripts without blanks, encoded text); up to ``SHORT`` they are code points; up to ``TINY``
-code points all runs of three code points count. Words are what ASCII white space separates; a run of it counts
-as one blank, at the ends as nothing. A text without any window has its whole text's hash. NULL counts as
-empty. Two texts are compared in the units of the longer one, an edited text in those of its document.
+What a unit is follows the length of the text, with runs of white space as one blank. Up to ``2 * TINY`` code points
+all runs of three code points count; from ``TINY`` up to ``2 * SHORT`` there are windows of code points; from
+``SHORT`` on there are windows of words, with words longer than ``LONG_WORD`` taken as single code points (scripts
+without blanks, encoded text). The ranges overlap, so a text of half to twice another's length has a kind of
+unit in common with it. The last two bits of a hash name its kind, and two
+fingerprints are compared in the kinds that both have; without one their likeness is 0. A fingerprint thus follows
+from its text alone, and a likeness from two fingerprints alone. Words are what ASCII white space separates; a run of it
+counts as one blank, at the ends as nothing. A text without any window has its whole text's hash, a kind
+of its own. NULL counts as empty.
 
 The next document is the next one in ascending id; of rows that share an id the order is that of the
 text's hash, NULL ids come first, the last row is followed by the first. Ids are numbers. Rows are dealt
@@ -33,7 +36,7 @@ from merchweave.llm.common import let, partitions
 
 WINDOW = 6  # units
 PAIRS = WINDOW - 1  # inner substrings of two units in a window
-TINY, SHORT = 48, 512  # code points
+TINY, SHORT = 48, 256  # code points
 LONG_WORD = 16  # code points
 SLICES_A_PARTITION = 4
 
@@ -66,36 +69,37 @@ def anchors(text: str) -> Column:
     return F.expr(_with_pairs(f"split({_plain(text)}, ' ')", body, empty))
 
 
-def _level(plain: str) -> str:
-    return let(f"char_length({plain})", "n", f"if(n <= {TINY}, 0, if(n <= {SHORT}, 1, 2))")
+def _of_kind(kind: int, hashes: str) -> str:
+    return f"transform({hashes}, h -> (h & -4L) | {kind}L)"
 
 
-def level(text: str) -> Column:
-    """0 for tiny texts, 1 for short ones, 2 for those whose units are words."""
-    return F.expr(_level(_plain(text)))
-
-
-def fingerprint(text: str, at: str | None = None) -> Column:
-    """Sorted array of the distinct hashes, in the units of the text's own level or those of the column ``at``."""
+def fingerprint(text: str) -> Column:
+    """Sorted array of the distinct hashes of the kinds that the text's length asks for."""
     none = "cast(array() AS array<bigint>)"
     runs = "transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2]))"
     tiny = let("split(p, '')", "w", f"if(size(w) < 3, {none}, {runs})")
     windows = f"transform({_chosen()}, i -> {_HASH})"
     cut = f"flatten(transform(v, x -> if(char_length(x) > {LONG_WORD}, split(x, ''), array(x))))"
     words = let("split(p, ' ')", "v", f"if(exists(v, x -> char_length(x) > {LONG_WORD}), {cut}, v)")
+    points_of, words_of = (_of_kind(k, _with_pairs(u, windows, none)) for k, u in ((1, "split(p, '')"), (2, words)))
     found = let(
-        at or _level("p"),
-        "l",
-        f"CASE l WHEN 0 THEN {tiny} WHEN 1 THEN {_with_pairs("split(p, '')", windows, none)} "
-        f"ELSE {_with_pairs(words, windows, none)} END",
+        "char_length(p)",
+        "n",
+        f"concat(if(n <= {2 * TINY}, {_of_kind(0, tiny)}, {none}), "
+        f"if(n >= {TINY} AND n <= {2 * SHORT}, {points_of}, {none}), "
+        f"if(n >= {SHORT}, {words_of}, {none}))",
     )
-    chosen = let(found, "f", "if(size(f) = 0, array(xxhash64(p)), sort_array(array_distinct(f)))")
+    chosen = let(found, "f", "if(size(f) = 0, array(xxhash64(p) | 3L), sort_array(array_distinct(f)))")
     return F.expr(let(_plain(text), "p", chosen))
 
 
 def likeness(a: str, b: str) -> Column:
-    both = f"size(array_intersect({a}, {b}))"
-    return F.expr(let(both, "n", f"n / cast(size({a}) + size({b}) - n AS double)"))
+    """Jaccard index of the hashes in the kinds that both fingerprints have."""
+    jaccard = let("size(array_intersect(x, y))", "n", "n / cast(size(x) + size(y) - n AS double)")
+    kinds = "array_distinct(transform({}, h -> h & 3L))"
+    shared = "filter({}, h -> array_contains(k, h & 3L))"
+    common = let(shared.format(a), "x", let(shared.format(b), "y", jaccard))
+    return F.expr(let(f"array_intersect({kinds.format(a)}, {kinds.format(b)})", "k", f"if(size(k) = 0, 0D, {common})"))
 
 
 def as_text(fingerprint: str) -> Column:
@@ -118,7 +122,7 @@ def _slice(column: str, bounds: list[float]) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) with fingerprint ``f`` and its level, next_text, next_f and next_level."""
+    """(doc_id, text) with fingerprint ``f``, next_text and next_f."""
     spark = docs.sparkSession
     n = partitions(spark)
     slices = SLICES_A_PARTITION * n
@@ -138,13 +142,12 @@ def with_next(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["slice"])
         .select("doc_id", "text", "slice", "h", F.lit(True).alias("ahead"))
     )
-    dealt = rows.unionByName(follows).repartition(n, "slice").withColumn("level", level("text"))
-    dealt = dealt.withColumn("f", fingerprint("text", "level"))
+    dealt = rows.unionByName(follows).repartition(n, "slice").withColumn("f", fingerprint("text"))
     order = W.partitionBy("slice").orderBy("ahead", F.col("doc_id").asc_nulls_first(), "h")
     return (
-        dealt.withColumns({f"next_{c}": F.lead(c).over(order) for c in ("text", "f", "level")})
+        dealt.withColumns({f"next_{c}": F.lead(c).over(order) for c in ("text", "f")})
         .filter("not ahead")
-        .select("doc_id", "text", "f", "level", "next_text", "next_f", "next_level")
+        .select("doc_id", "text", "f", "next_text", "next_f")
     )
 
 
@@ -155,14 +158,6 @@ def edited(docs: DataFrame) -> DataFrame:
     return (
         with_next(docs)
         .withColumn("edited", changed)
-        .withColumns(
-            {
-                "edited_f": fingerprint("edited", "level"),
-                # Next to a longer text, or after one, a text is taken in the longer one's units.
-                "beside_f": F.when(F.expr("level < next_level"), fingerprint("text", "next_level")).otherwise(F.col("f")),
-                "next_f": F.when(F.expr("next_level < level"), fingerprint("next_text", "level")).otherwise(F.col("next_f")),
-            }
-        )
-        .withColumns({"near_edited": likeness("f", "edited_f"), "near_next": likeness("beside_f", "next_f")})
-        .drop("beside_f")
+        .withColumn("edited_f", fingerprint("edited"))
+        .withColumns({"near_edited": likeness("f", "edited_f"), "near_next": likeness("f", "next_f")})
     )
