@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +42,15 @@ def let(value: str, name: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+def aside(df: DataFrame, taken: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns renamed that are called like one in ``taken``, and the names to give back."""
+    reserved, mark = {t.lower() for t in taken}, "__aside"
+    while any(c.lower().startswith(mark) for c in df.columns):
+        mark += "_"
+    back = {f"{mark}{i}": c for i, c in enumerate(df.columns) if c.lower() in reserved}
+    return df.withColumnsRenamed({c: n for n, c in back.items()}), back
+
+
 def n_words(text: str) -> Column:
     """Words between ASCII white space; NULL counts as empty."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

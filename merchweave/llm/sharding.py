@@ -20,14 +20,17 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchweave.llm.common import hash_bits
+from merchweave.llm.common import aside, hash_bits
 from merchweave.session import staged
 
 ID_BITS = 60
 ALL_BITS = 120
 SPARE = 6  # bits beyond the expected depth
 
-OWN = ("__shard_bits", "__shard_bytes")
+OWN = ("__shard_bits", "__shard_bytes", "__fine", "__leaf")
+
+
+_LEAF = "struct<depth: int, shard: string, shard_bytes: bigint, shard_rows: bigint>"
 
 
 def _bits(id_column: str):
@@ -39,7 +42,11 @@ def _bits(id_column: str):
 
 
 def _leaves(rows: DataFrame, start: int, depth: int, limit: int) -> DataFrame:
-    """Per prefix of ``depth`` bits the first bucket, from ``start`` bits on, that fits; NULL where none does."""
+    """Per prefix of ``depth`` bits the first bucket, from ``start`` bits on, that fits; NULL where none does.
+
+    The sums come first, and prefixes meet them only from the depth on at which any bucket fits: the root and
+    the short prefixes, which all rows share, are no join keys.
+    """
     fine = rows.groupBy(F.substring("__shard_bits", 1, depth).alias("fine")).agg(
         F.sum("__shard_bytes").alias("bytes"), F.count("*").alias("n")
     )
@@ -48,12 +55,18 @@ def _leaves(rows: DataFrame, start: int, depth: int, limit: int) -> DataFrame:
     )
     sums = spread.groupBy("depth", "shard").agg(F.sum("bytes").alias("shard_bytes"), F.sum("n").alias("shard_rows"))
     fits = (F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1) | (F.col("depth") == ALL_BITS)
+    buckets = staged(sums.filter(fits), "shard-buckets")
+    first = buckets.agg(F.min("depth")).first()[0]
+    if first is None:
+        return fine.select("fine", F.lit(None).cast(_LEAF).alias("leaf"), "bytes")
+    tried = fine.withColumn("depth", F.explode(F.sequence(F.lit(first), F.lit(depth)))).withColumn(
+        "shard", F.expr("substring(fine, 1, depth)")
+    )
     return (
-        spread.select("fine", "bytes", "depth", "shard")
-        .join(sums.withColumn("fits", fits), ["depth", "shard"])
+        tried.join(buckets, ["depth", "shard"], "left")
         .groupBy("fine")
         .agg(
-            F.min(F.when(F.col("fits"), F.struct("depth", "shard", "shard_bytes", "shard_rows"))).alias("leaf"),
+            F.min(F.when(F.col("shard_rows").isNotNull(), F.struct("depth", "shard", "shard_bytes", "shard_rows"))).alias("leaf"),
             F.first("bytes").alias("bytes"),
         )
     )
@@ -62,7 +75,9 @@ def _leaves(rows: DataFrame, start: int, depth: int, limit: int) -> DataFrame:
 def shard(df: DataFrame, limit: int, id_column: str = "doc_id", text: str = "text", size: str | None = None) -> DataFrame:
     """Add shard (its bits), shard_depth, shard_bytes and shard_rows to every row.
 
-    A row's bytes are those of ``text``, or the column ``size`` if given.
+    A row's bytes are those of ``text``, or the column ``size`` if given. All other columns of the caller stay as they
+    are, whatever their names; columns named like the four added ones are replaced. An empty table gives an empty
+    result with the same columns.
 
     The rows are written once to the shared folder, because their own bits must not change when a
     task runs again; drop columns that are not needed before.
@@ -70,6 +85,7 @@ def shard(df: DataFrame, limit: int, id_column: str = "doc_id", text: str = "tex
     clash = {"shard", "shard_depth", "shard_bytes", "shard_rows"} & set(df.columns)
     if clash:
         df = df.drop(*clash)  # an earlier assignment is replaced
+    df, back = aside(df, OWN)
     own_bytes = F.coalesce(F.col(size) if size else F.octet_length(text), F.lit(0)).cast("long")
     rows = staged(df.withColumns({"__shard_bits": _bits(id_column), "__shard_bytes": own_bytes}), "shard-rows")
     total = rows.agg(F.sum("__shard_bytes")).first()[0] or 0
@@ -81,24 +97,24 @@ def shard(df: DataFrame, limit: int, id_column: str = "doc_id", text: str = "tex
         leaves = staged(_leaves(pending, start, depth, limit), "shard-leaves")
         done = leaves.filter("leaf is not null")
         placed = (
-            pending.withColumn("fine", F.substring("__shard_bits", 1, depth))
-            .join(done.select("fine", "leaf"), "fine")
+            pending.withColumn("__fine", F.substring("__shard_bits", 1, depth))
+            .join(done.select(F.col("fine").alias("__fine"), F.col("leaf").alias("__leaf")), "__fine")
             .select(
                 *[F.col(f"`{c}`") for c in df.columns],
-                F.col("leaf.shard").alias("shard"),
-                F.col("leaf.depth").alias("shard_depth"),
-                F.col("leaf.shard_bytes").alias("shard_bytes"),
-                F.col("leaf.shard_rows").alias("shard_rows"),
+                F.col("__leaf.shard").alias("shard"),
+                F.col("__leaf.depth").alias("shard_depth"),
+                F.col("__leaf.shard_bytes").alias("shard_bytes"),
+                F.col("__leaf.shard_rows").alias("shard_rows"),
             )
         )
         found = placed if found is None else found.unionByName(placed)
         rest = leaves.filter("leaf is null")
         largest = rest.agg(F.max("bytes")).first()[0]
         if largest is None:
-            return found
-        pending = pending.withColumn("fine", F.substring("__shard_bits", 1, depth)).join(
-            rest.select("fine"), "fine", "left_semi"
-        ).drop("fine")
+            return found.withColumnsRenamed(back)
+        pending = pending.withColumn("__fine", F.substring("__shard_bits", 1, depth)).join(
+            rest.select(F.col("fine").alias("__fine")), "__fine", "left_semi"
+        ).drop("__fine")
         start = depth
 
 
