@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchweave.llm.common import partitions
+from merchweave.llm.common import aside, partitions
 from merchweave.session import staged
 
 LEAST_CHARS = 40
@@ -106,8 +106,8 @@ class LineRuns:
         if len(self.levels[level + 1]) >= self.fan_in:
             self._compact(level + 1, self.levels[level + 1])
 
-    def add(self, lines: DataFrame) -> DataFrame:
-        """Take in a batch's (doc_id, key) and give the keys no earlier batch had: (key, n_docs, owner)."""
+    def add(self, lines: DataFrame, give: bool = True) -> DataFrame | None:
+        """Take in a batch's (doc_id, key); with ``give``, give the keys no earlier batch had: (key, n_docs, owner)."""
         arrived = lines.groupBy("key", "doc_id").agg(F.lit(1).alias("__one"))
         arrived = arrived.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("owner"))
         known = F.lit(False)
@@ -120,7 +120,7 @@ class LineRuns:
         table = self._write(rows)
         if not self.levels:
             self.levels.append([])
-        fresh = staged(self.spark.table(table).filter("fresh").drop("fresh"), "fresh-lines")
+        fresh = staged(self.spark.table(table).filter("fresh").drop("fresh"), "fresh-lines") if give else None
         self.levels[0].append(table)
         if len(self.levels[0]) >= self.fan_in:
             self._compact(0, self.levels[0])
@@ -151,24 +151,32 @@ def dropped_keys(
         document_keys(docs, id_column, text).withColumn("batch", F.coalesce(batch, F.lit(len(bounds)))), "line-keys"
     )
     runs = LineRuns(docs.sparkSession)
-    for i in range(len(bounds) + 1):
-        runs.add(keys.filter(F.col("batch") == i).select("doc_id", "key"))
-    frequent = runs.totals().filter(F.col("n_docs") >= least_docs).select(F.col("key").alias("__key"), "owner")
+    try:
+        for i in range(len(bounds) + 1):
+            runs.add(keys.filter(F.col("batch") == i).select("doc_id", "key"), give=False)
+        return staged(_gone(keys, runs.totals(), least_docs), "dropped-lines")
+    finally:
+        runs.drop()
+
+
+def _gone(keys: DataFrame, totals: DataFrame, least_docs: int) -> DataFrame:
+    frequent = totals.filter(F.col("n_docs") >= least_docs).select(F.col("key").alias("__key"), "owner")
     # No document has more keys than lines.
-    gone = (
+    return (
         keys.join(frequent, F.col("key") == F.col("__key"))
         .filter(~F.col("doc_id").eqNullSafe(F.col("owner")))
         .groupBy(F.col("doc_id").alias("__doc"))
         .agg(F.collect_set("key").alias("__gone"))
     )
-    gone = staged(gone, "dropped-lines")
-    runs.drop()
-    return gone
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows and columns, ``text`` without the dropped lines, with n_lines (before) and n_dropped."""
+    """All rows and columns, ``text`` without the dropped lines, with n_lines (before) and n_dropped.
+
+    Columns of the caller may have any names; only ones named n_lines or n_dropped are replaced. Ids are numbers.
+    """
     gone = dropped_keys(docs, id_column, text)
+    docs, back = aside(docs, ("__doc", "__gone"))
     # The same join at every size: merged, never one side sent to all.
     same = F.col(id_column).eqNullSafe(F.col("__doc"))
     joined = docs.drop("n_lines", "n_dropped").hint("merge").join(gone, same, "left").drop("__doc")
@@ -194,4 +202,4 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
                 [*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], [*names, "n_lines", "n_dropped"]
             )
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).withColumnsRenamed(back)
