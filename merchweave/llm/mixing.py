@@ -20,10 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from merchweave.llm.common import hash_bits, n_words
+from merchweave.llm.common import aside, hash_bits, n_words
 from merchweave.session import staged
 
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
+MARKS = ("__topic", "__tokens", "__probability", "__kept")
 KEEP = 0.7
 SWEEPS_A_JOB = 4
 MAX_JOBS = 12
@@ -96,7 +97,7 @@ def mix(
     keep: float = KEEP,
     topics: Column | None = None,
 ) -> DataFrame:
-    """Add __topic, __tokens, __probability and __kept to every row of ``docs``."""
+    """Add the columns ``MARKS`` to every row of ``docs``; its own columns of these names are replaced."""
     return _mixed(_marked(docs, text, topics), id_column, powers, keep)
 
 
@@ -138,5 +139,7 @@ def _mixed(marked: DataFrame, id_column: str, powers: Mapping[str, float], keep:
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
-    """The documents kept by ``mix``, with the columns they came with."""
-    return mix(docs, **options).filter("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents kept by ``mix``, with the columns they came with, whatever their names."""
+    plain, back = aside(docs, (*MARKS, *[f"__cell_{dim}" for dim in options.get("powers", POWERS)]))
+    kept = mix(plain, **options).filter("__kept").select(*[F.col(f"`{c}`") for c in plain.columns])
+    return kept.withColumnsRenamed(back)
