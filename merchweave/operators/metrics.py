@@ -188,6 +188,23 @@ def neighbour_ndcg(scores: DataFrame, truth: DataFrame, n_categories: Column, k:
     )
 
 
+def neighbour_means(hits: DataFrame, ndcg: DataFrame, k: int = 5) -> DataFrame:
+    """(metric, n_users, mean): the neighbour model's precision, recall and NDCG at k over its users; 0 without any."""
+
+    def means(per_user: DataFrame, names: Sequence[str]) -> DataFrame:
+        rows = [
+            F.struct(
+                F.lit(f"{name}_{k}").alias("metric"),
+                F.count(name).alias("n_users"),
+                F.coalesce(round_half_even(F.avg(name), 6), F.lit(0.0)).alias("mean"),
+            )
+            for name in names
+        ]
+        return per_user.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
+
+    return means(hits, ["precision", "recall"]).unionByName(means(ndcg, ["ndcg"]))
+
+
 def _cumulative_discounts(k: int) -> list[float]:
     out, total = [], 0.0
     for i in range(1, k + 1):

@@ -312,6 +312,20 @@ def check_allowed(df: DataFrame, table: str, allowed: Mapping[str, Sequence[str]
     return union_all(parts) if parts else None
 
 
+def profile_columns(df: DataFrame, table: str) -> DataFrame:
+    """(table_name, column_name, dtype, non_null, null_count) of every column, of any type, in one pass."""
+    rows = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("dtype"),
+            F.count(F.col(f"`{f.name}`")).alias("non_null"),
+            F.count_if(F.col(f"`{f.name}`").isNull()).alias("null_count"),
+        )
+        for f in df.schema
+    ]
+    return df.agg(F.array(*rows).alias("_rows")).select(F.lit(table).alias("table_name"), F.inline("_rows"))
+
+
 def profile_numeric(df: DataFrame, table: str) -> DataFrame:
     """Range, mean, sample deviation and exact median of every numeric column."""
     columns = numeric_columns(df)

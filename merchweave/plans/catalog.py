@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ from merchweave.operators import (
 )
 from merchweave.plans.pipeline import Shop
 from merchweave.session import configure, staged
-from merchweave.sources import files, lake, roles, store
+from merchweave.sources import files, lake, models, roles, store
 from merchweave.streaming import events
 
 Query = Callable[[Shop], DataFrame]
@@ -101,6 +102,24 @@ def json_flatten(shop: Shop) -> DataFrame:
     return parsed
 
 
+@query
+def payload_shapes(shop: Shop) -> DataFrame:
+    """The orders as responses of four shapes in one folder, by the remainder of their key, read back as one table."""
+    lines = F.struct("l_partkey", F.struct(F.col("l_quantity").cast("int").alias("n"), "l_returnflag").alias("ship"))
+    rows = shop.table("lineitem").withColumn("kind", F.col("l_orderkey") % 4)
+    text = (
+        F.when(F.col("kind") == 0, F.to_json(F.collect_list(lines)))
+        .when(F.col("kind") == 1, F.to_json(F.max(lines)))
+        .when(F.col("kind") == 2, F.to_json(F.collect_list("l_returnflag")))
+        .otherwise(F.count("*").cast("string"))
+    )
+    folder = shop.scratch("payloads")
+    rows.groupBy("l_orderkey", "kind").agg(text.alias("text")).select("text").write.text(folder)
+    table = files.payload_table(files.payload_rows(shop.spark, folder, whole_files=False), "modes")
+    keys = ["shape", "l_partkey", "ship.n", "ship.l_returnflag", "modes", "value"]
+    return table.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(F.count("*").alias("n_rows"))
+
+
 def _raw_sources(shop: Shop) -> dict:
     sources = {name: (lambda n=name: shop.table(n)) for name in RAW_TABLES}
     sources["absent"] = lambda: shop.table("absent")
@@ -275,6 +294,12 @@ def dq_unexpected_values(shop: Shop) -> DataFrame:
     )
 
 
+@query
+def column_profile(shop: Shop) -> DataFrame:
+    """Type, filled and missing values of every column of the raw tables."""
+    return quality.union_all([quality.profile_columns(shop.table(t), t) for t in RAW_TABLES])
+
+
 @query
 def profile_numeric(shop: Shop) -> DataFrame:
     return quality.union_all(
@@ -727,9 +752,12 @@ def neighbour_scores(shop: Shop) -> DataFrame:
     return recommend.neighbour_scores(_evaluated(shop)[1], shop.model_grid)
 
 
-def _precision_recall(shop: Shop) -> DataFrame:
+def _scored(shop: Shop) -> tuple[neighbours.Profiles, DataFrame]:
     profiles, lists = _evaluated(shop)
-    scores = recommend.neighbour_scores(lists, shop.model_grid)
+    return profiles, recommend.neighbour_scores(lists, shop.model_grid)
+
+
+def _precision_recall(shop: Shop, profiles: neighbours.Profiles, scores: DataFrame) -> DataFrame:
     liked = shop.test.filter(F.col("rating") >= metrics.RELEVANT)
     users = shop.model_grid.select("customer_unique_id").distinct()
     return metrics.neighbour_precision_recall(scores, liked, users, recommend.catalogue_of(profiles), EVALUATED)
@@ -737,12 +765,10 @@ def _precision_recall(shop: Shop) -> DataFrame:
 
 @query
 def knn_precision_recall(shop: Shop) -> DataFrame:
-    return _precision_recall(shop)
+    return _precision_recall(shop, *_scored(shop))
 
 
-def _ndcg(shop: Shop) -> DataFrame:
-    profiles, lists = _evaluated(shop)
-    scores = recommend.neighbour_scores(lists, shop.model_grid)
+def _ndcg(shop: Shop, profiles: neighbours.Profiles, scores: DataFrame) -> DataFrame:
     eligible = (
         shop.test.filter(F.col("rating") >= metrics.RELEVANT)
         .select("customer_unique_id")
@@ -760,7 +786,17 @@ def _ndcg(shop: Shop) -> DataFrame:
 
 @query
 def knn_ndcg(shop: Shop) -> DataFrame:
-    return _ndcg(shop)
+    return _ndcg(shop, *_scored(shop))
+
+
+@query
+def knn_metrics(shop: Shop) -> DataFrame:
+    """Mean precision, recall and NDCG of the nearest users' predictions, over one search."""
+    profiles, scores = _scored(shop)
+    scores = staged(scores, "knn-scores")
+    return metrics.neighbour_means(
+        _precision_recall(shop, profiles, scores), _ndcg(shop, profiles, scores), EVALUATED
+    )
 
 
 @query
@@ -962,6 +998,16 @@ def best_model(shop: Shop) -> DataFrame:
     return metrics.best_models(staged(_model_results(shop), "results"))
 
 
+@query
+def published_grid(shop: Shop) -> DataFrame:
+    """The grid published in two versions, the second trained on all rows; readers get the latest."""
+    root = shop.scratch("models")
+    first = shop.model_grid.filter(F.col("rating") >= metrics.RELEVANT)
+    for version, grid, day in (("v2", shop.model_grid, 2), ("v1", first, 1)):
+        models.publish(shop.spark, root, "user-knn", version, {"grid": grid}, {"rows": grid.count()}, datetime(2024, 1, day))
+    return models.load(shop.spark, root, "user-knn", "grid")
+
+
 @query
 def latest_model(shop: Shop) -> DataFrame:
     """Latest run of each model name, with the event log as the run table."""
@@ -1005,6 +1051,19 @@ def stream_ingest(shop: Shop) -> DataFrame:
     return shop.spark.read.parquet(target).drop("batch_id")
 
 
+@query
+def stream_land(shop: Shop) -> DataFrame:
+    """Events landed by date in batches; the newest date is read back beside the audit of all batches."""
+    root, checkpoint = shop.scratch("stream"), shop.scratch("stream-state")
+    for _ in range(2):  # the second run finds nothing new
+        events.land_stream(events.event_stream(shop.spark, shop.sf_dir), root, "events", checkpoint)
+    landed = lake.read_landed(shop.spark, root, "events", "stream")
+    audit = events.read_stream_audit(shop.spark, root, "events")
+    return files.latest_partition(landed).groupBy("ingest_date", "event_type").agg(F.count("*").alias("n_events")).withColumn(
+        "rows_audited", audit.agg(F.sum("row_count")).scalar()
+    )
+
+
 @query
 def stream_item_counts(shop: Shop) -> DataFrame:
     target, checkpoint = shop.scratch("stream"), shop.scratch("stream-state")

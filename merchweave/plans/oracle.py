@@ -939,6 +939,11 @@ blocks AS (
 ideal AS (SELECT u, sum(gain / log2(q + 1.0::DOUBLE)) AS idcg FROM placed WHERE q <= 5 GROUP BY u)
 SELECT b.u AS customer_unique_id, {r('CASE WHEN any_value(i.idcg) > 0 THEN sum(b.part) / any_value(i.idcg) ELSE 0.0 END', 9)} AS ndcg
 FROM blocks b JOIN ideal i ON b.u = i.u GROUP BY b.u"""
+SQL["knn_metrics"] = f"""
+SELECT 'precision_5' AS metric, count(*) AS n_users, coalesce({r('avg(precision)', 6)}, 0.0::DOUBLE) AS mean FROM ({SQL["knn_precision_recall"]})
+UNION ALL SELECT 'recall_5', count(*), coalesce({r('avg(recall)', 6)}, 0.0::DOUBLE) FROM ({SQL["knn_precision_recall"]})
+UNION ALL SELECT 'ndcg_5', count(*), coalesce({r('avg(ndcg)', 6)}, 0.0::DOUBLE) FROM ({SQL["knn_ndcg"]})"""
+SQL["published_grid"] = "SELECT *, 'v2' AS model_version FROM grid"
 SQL["recommend_users"] = _user_recs("training")
 SQL["recommend_users_excluding"] = _user_recs("seen_or_disliked")
 SQL["recommend_categories"] = f"""
@@ -1043,6 +1048,9 @@ SELECT u AS product_id, CAST(place AS INTEGER) AS place, v AS neighbour_id, sim
   FROM items x JOIN items y ON x.u <> y.u LEFT JOIN ts s ON s.u = x.u AND s.v = y.u) WHERE place <= 10"""
 
 # ---- streaming ----
+SQL["stream_land"] = """
+SELECT CAST(ts AS DATE) AS ingest_date, event_type, count(*) AS n_events, (SELECT count(*) FROM events) AS rows_audited
+FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY ALL"""
 SQL["stream_ingest"] = "SELECT *, CAST(ts AS DATE) AS ingest_date FROM events"
 SQL["stream_item_counts"] = """
 SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS n_events,
@@ -1190,6 +1198,21 @@ FROM (
   UNION ALL SELECT 'schema_match', 'PASS', 0, '' WHERE (SELECT sum(violations) FROM found) = 0)"""
 
 
+SQL["column_profile"] = UNION.join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{_file_type(c)}' AS dtype, count({c}) AS non_null, "
+    f"count(*) - count({c}) AS null_count FROM {t}"
+    for t, columns in RAW.items()
+    for c in columns.split(",")
+)
+SQL["payload_shapes"] = """
+SELECT shape, l_partkey, n AS "ship.n", mode AS "ship.l_returnflag", modes, value, count(*) AS n_rows FROM (
+  SELECT 'objects' AS shape, l_partkey, CAST(l_quantity AS BIGINT) AS n, l_returnflag AS mode, NULL AS modes, NULL AS value
+  FROM lineitem WHERE l_orderkey % 4 = 0
+  UNION ALL SELECT 'object', x.p, x.n, x.m, NULL, NULL FROM (
+    SELECT max({'p': l_partkey, 'n': CAST(l_quantity AS BIGINT), 'm': l_returnflag}) AS x FROM lineitem WHERE l_orderkey % 4 = 1 GROUP BY l_orderkey)
+  UNION ALL SELECT 'list', NULL, NULL, NULL, l_returnflag, NULL FROM lineitem WHERE l_orderkey % 4 = 2
+  UNION ALL SELECT 'scalar', NULL, NULL, NULL, NULL, CAST(count(*) AS VARCHAR) FROM lineitem WHERE l_orderkey % 4 = 3 GROUP BY l_orderkey)
+GROUP BY ALL"""
 SQL["dq_schema"] = UNION.join(_file_check(t) for t in RAW)
 
 

@@ -53,6 +53,63 @@ def read_payload(spark: SparkSession, path: str, endpoint: str) -> DataFrame:
     return whole.select(F.trim(F.regexp_replace("value", r'^\s*"|"\s*$', "")).alias("value"))
 
 
+def payload_rows(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """(source_file, shape, position, value) of JSON responses, the shape decided for each by itself.
+
+    ``shape`` is ``objects`` (a list that begins with an object), ``list``, ``object``, ``scalar`` or ``text`` (not
+    JSON, kept as a string; NULL counts as such). A list gives a row per element, an empty one none; ``value`` is a
+    VARIANT. Responses are whole files, or lines with ``whole_files`` off.
+    """
+    raw = spark.read.text(path, wholetext=whole_files).withColumn("source_file", F.col("_metadata.file_path"))
+    parsed = raw.withColumn("_v", F.try_parse_json("value"))
+    kind = F.schema_of_variant("_v")
+    first = F.schema_of_variant(F.try_variant_get("_v", "$[0]", "variant"))
+    shape = (
+        F.when(F.col("_v").isNull(), "text")
+        .when(kind.startswith("ARRAY") & F.coalesce(first.startswith("OBJECT"), F.lit(False)), "objects")
+        .when(kind.startswith("ARRAY"), "list")
+        .when(kind.startswith("OBJECT"), "object")
+        .otherwise("scalar")
+    )
+    single = F.coalesce("_v", F.col("value").cast("variant"))
+    values = F.when(F.col("_shape").isin("objects", "list"), F.try_variant_get("_v", "$", "array<variant>")).otherwise(
+        F.array(single)
+    )
+    return parsed.withColumn("_shape", shape).select(
+        "source_file", F.col("_shape").alias("shape"), F.posexplode(values).alias("position", "value")
+    )
+
+
+def payload_table(rows: DataFrame, endpoint: str) -> DataFrame:
+    """Payload rows as one table: objects flattened over all their fields, other elements of lists in a column
+    named after the endpoint, single values in ``value``.
+
+    The fields are those of all objects; the driver gets their schema as one text. A field with types that have
+    none in common stays a VARIANT. A column for a kind of payload that does not occur is left out.
+    """
+    kinds = rows.withColumn(
+        "_kind",
+        F.when(F.schema_of_variant("value").startswith("OBJECT"), "object")
+        .when(F.col("shape").isin("objects", "list"), "element")
+        .otherwise("single"),
+    )
+    objects, element, single = (F.col("_kind") == k for k in ("object", "element", "single"))
+    found = kinds.agg(
+        F.schema_of_variant_agg(F.when(objects, F.col("value"))).alias("fields"),
+        F.max(element).alias("elements"),
+        F.max(single).alias("singles"),
+    ).first()
+    out = kinds.withColumnRenamed("value", "_v")
+    for name, wanted, there in ((endpoint, element, found.elements), ("value", single, found.singles)):
+        if there:
+            out = out.withColumn(name, F.when(wanted, F.try_variant_get("_v", "$", "string")))
+    if not (found.fields or "").startswith("OBJECT<"):
+        return out.drop("_v", "_kind")
+    fields = found.fields.replace("OBJECT<", "STRUCT<")
+    wide = flattened(out.withColumn("_v", F.when(objects, F.try_variant_get("_v", "$", fields))).drop("_kind"))
+    return wide.withColumnsRenamed({c: c.removeprefix("_v.") for c in wide.columns})
+
+
 def parse_json_column(df: DataFrame, column: str, schema: str) -> DataFrame:
     """A JSON text column parsed and flattened in place."""
     return flattened(df.withColumn(column, F.from_json(column, schema)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
@@ -19,6 +20,10 @@ AUDIT_SCHEMA = (
 )
 
 
+# Scheme and host of a path, and the slashes after them.
+_STORE = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*"
+
+
 def row_digest(columns: list[str]) -> Column:
     """MD5 over a row's values, each with its length before it; a NULL has none, so no two rows read alike."""
     texts = [F.col(c).cast("string") for c in columns]
@@ -58,10 +63,10 @@ def land(
     ).withColumn("ingest_date", day)
     write_table(out, path, "parquet", ["ingest_date"])
     facts = observed.get
-    return _record(df, source, origin or path, path, facts["rows"], facts["checksum"], "SUCCESS", None)
+    return audit_record(df, source, origin or path, path, facts["rows"], facts["checksum"], "SUCCESS", None)
 
 
-def _record(df, source, origin, destination, rows, checksum, status, error) -> dict:
+def audit_record(df, source, origin, destination, rows, checksum, status, error) -> dict:
     columns = [] if df is None else df.columns
     return {
         "source_name": source,
@@ -93,7 +98,7 @@ def ingest_all(
         try:
             return land(sources[name](), root, name, ingest_date=ingest_date)
         except Exception as problem:  # noqa: BLE001 - any failure of one source is recorded
-            return _record(None, name, "", "", 0, None, "FAILED", str(problem))
+            return audit_record(None, name, "", "", 0, None, "FAILED", str(problem))
 
     with ThreadPoolExecutor(at_once) as pool:
         records = list(pool.map(inheritable_thread_target(one), sources))
@@ -118,7 +123,8 @@ def read_landed(spark: SparkSession, root: str, source: str, data_type: str = "t
 def lake_catalog(spark: SparkSession, root: str) -> DataFrame:
     """Every file under the layer, with source, type and date from its path.
 
-    Only the listing is read; file contents are never loaded.
+    Only the listing is read; file contents are never loaded. Paths are cut after the root's own path, whatever
+    store the root names or leaves to the default.
     """
     files = (
         spark.read.format("binaryFile")
@@ -126,11 +132,11 @@ def lake_catalog(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", F.col("length").alias("size_bytes"), "modificationTime")
     )
-    base = "file:" + root.rstrip("/") + "/" if root.startswith("/") else root.rstrip("/") + "/"
+    base = re.sub(_STORE, "/", root).rstrip("/") + "/"
     parts = F.split("relative_path", "/")
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.regexp_replace("path", "^" + _quoted(base).replace("file:", "file:/*(?=/)"), "").alias("relative_path"),
+        F.substring(F.regexp_replace("path", _STORE, "/"), len(base) + 1, 1 << 20).alias("relative_path"),
         "size_bytes",
     ).select(
         "file_name",
@@ -144,10 +150,6 @@ def lake_catalog(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _quoted(text: str) -> str:
-    return "".join("\\" + c if c in r".+*?()[]{}^$|\\" else c for c in text)
-
-
 def write_sidecars(audit: DataFrame, root: str) -> None:
     """Audit records as JSON files of their own."""
     audit.write.mode("append").json(f"{root.rstrip('/')}/_audit")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from merchweave.sources.files import write_table
+from merchweave.sources.lake import AUDIT_SCHEMA, audit_record, landing_path, table_checksum
+
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -33,6 +38,45 @@ def ingest(stream: DataFrame, target: str, checkpoint: str) -> None:
     drain(stream.withColumn("ingest_date", F.to_date("ts")), target, checkpoint)
 
 
+def land_stream(stream: DataFrame, root: str, source: str, checkpoint: str, date: str = "ts") -> None:
+    """Land everything not seen yet in the raw layer, one folder per date and batch, with one audit row per batch.
+
+    Rows and checksum are observed while a batch is written. A batch that is run again writes the folders of
+    its own number only, data and audit row alike, so it replaces both; its audit row comes last.
+    """
+    path = landing_path(root, source, "stream")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        observed = Observation(f"land-{source}-{batch_id}-{uuid.uuid4().hex}")
+        seen = batch.observe(
+            observed, F.count(F.lit(1)).alias("rows"), table_checksum(batch.columns).alias("checksum")
+        )
+        dated = seen.withColumns({"ingest_date": F.to_date(date), "batch_id": F.lit(batch_id)})
+        write_table(dated, path, "parquet", ["ingest_date", "batch_id"])
+        facts = observed.get
+        row = audit_record(batch, source, source, path, facts["rows"], facts["checksum"], "SUCCESS", None)
+        audit = spark.createDataFrame([tuple(row[f.split()[0]] for f in AUDIT_SCHEMA.split(", "))], AUDIT_SCHEMA)
+        audit.coalesce(1).write.mode("overwrite").json(f"{_stream_audit(root, source)}/batch_id={batch_id}")
+
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def read_stream_audit(spark: SparkSession, root: str, source: str) -> DataFrame:
+    """One audit row per batch landed."""
+    return spark.read.schema(AUDIT_SCHEMA + ", batch_id bigint").json(_stream_audit(root, source))
+
+
+def _stream_audit(root: str, source: str) -> str:
+    return f"{root.rstrip('/')}/_stream_audit/{source}"
+
+
 def windowed_counts(stream: DataFrame, window: str = "1 day", lateness: str = "1 hour") -> DataFrame:
     """Events and their value per window and type; state older than the lateness is dropped."""
     return (
