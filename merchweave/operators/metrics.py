@@ -213,6 +213,20 @@ def _cumulative_discounts(k: int) -> list[float]:
     return out
 
 
+def performance_report(results: DataFrame, k: int = 5) -> DataFrame:
+    """One row per model from (model, metric, mean), with metrics named like ``ndcg_5``.
+
+    A metric a model lacks counts as 0, and models without any are left out. Models are placed by NDCG, ties by
+    precision and then by name; the first is the best.
+    """
+    names = [f"{m}_{k}" for m in ("precision", "recall", "ndcg")]
+    wide = results.groupBy("model").agg(
+        *[F.coalesce(F.max(F.when(F.col("metric") == n, F.col("mean"))), F.lit(0.0)).alias(n) for n in names]
+    )
+    order = W.orderBy(F.desc(names[2]), F.desc(names[0]), "model")  # one row per model
+    return wide.filter(F.greatest(*names) > 0).withColumn("place", F.row_number().over(order))
+
+
 def best_models(results: DataFrame) -> DataFrame:
     """Model with the best NDCG and model with the least RMSE from (model, ndcg, rmse).
 

@@ -789,9 +789,7 @@ def knn_ndcg(shop: Shop) -> DataFrame:
     return _ndcg(shop, *_scored(shop))
 
 
-@query
-def knn_metrics(shop: Shop) -> DataFrame:
-    """Mean precision, recall and NDCG of the nearest users' predictions, over one search."""
+def _knn_means(shop: Shop) -> DataFrame:
     profiles, scores = _scored(shop)
     scores = staged(scores, "knn-scores")
     return metrics.neighbour_means(
@@ -799,6 +797,12 @@ def knn_metrics(shop: Shop) -> DataFrame:
     )
 
 
+@query
+def knn_metrics(shop: Shop) -> DataFrame:
+    """Mean precision, recall and NDCG of the nearest users' predictions, over one search."""
+    return _knn_means(shop)
+
+
 @query
 def recommend_users(shop: Shop) -> DataFrame:
     return recommend.recommend_users(shop.training, shop.model_grid)
@@ -988,6 +992,20 @@ def _model_results(shop: Shop) -> DataFrame:
     return quality.union_all(parts)
 
 
+@query
+def performance_report(shop: Shop) -> DataFrame:
+    """The trained models by their ranking metrics: user neighbours over categories, the others over products."""
+    rated = {
+        "blend": ratings.blend_rating(shop.test, shop.train).withColumn("pred_rating", round_half_even(F.col("pred_rating"), 9)),
+        "item_knn": round_doubles(corating.predict_from_neighbours(shop.test, shop.train), 6),
+    }
+    parts = [_knn_means(shop).select(F.lit("user_knn").alias("model"), "metric", "mean")]
+    for name, predictions in rated.items():
+        means = metrics.ranking_metrics(_as_predictions(predictions), [EVALUATED])
+        parts.append(means.select(F.lit(name).alias("model"), F.concat_ws("_", "metric", "k").alias("metric"), "mean"))
+    return metrics.performance_report(quality.union_all(parts), EVALUATED)
+
+
 @query
 def model_report(shop: Shop) -> DataFrame:
     return _model_results(shop)

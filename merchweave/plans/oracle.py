@@ -1031,6 +1031,21 @@ SELECT t.customer_unique_id AS uid, t.product_id AS iid, t.rating AS true_rating
        {r("greatest(1.0, least(5.0, CASE WHEN e.weight > 1e-9 THEN e.top / (e.weight + 1e-9::DOUBLE) ELSE coalesce(um.m, (SELECT m FROM train_mean)) END))", 6)} AS pred_rating
 FROM test t LEFT JOIN est e ON e.uid = t.customer_unique_id AND e.iid = t.product_id
 LEFT JOIN um ON um.customer_unique_id = t.customer_unique_id"""
+VIEWS["preds_item_knn"] = SQL["item_knn_rating"]
+VIEWS["rows_item_knn"] = VIEWS["rank_rows"].replace("s_predictions", "preds_item_knn")
+VIEWS["ranks_item_knn"] = _rank_table("rows_item_knn")
+SQL["performance_report"] = f"""
+WITH knn_means AS ({SQL["knn_metrics"]}),
+models AS (
+  SELECT 'user_knn' AS model, max(CASE WHEN metric = 'precision_5' THEN mean END) AS precision_5,
+         max(CASE WHEN metric = 'recall_5' THEN mean END) AS recall_5, max(CASE WHEN metric = 'ndcg_5' THEN mean END) AS ndcg_5 FROM knn_means
+  UNION ALL SELECT 'blend', {r('avg(precision)', 6)}, {r('avg(recall)', 6)}, {r('avg(ndcg)', 6)} FROM ranks_blend WHERE k = 5
+  UNION ALL SELECT 'item_knn', {r('avg(precision)', 6)}, {r('avg(recall)', 6)}, {r('avg(ndcg)', 6)} FROM ranks_item_knn WHERE k = 5),
+filled AS (
+  SELECT model, coalesce(precision_5, 0.0::DOUBLE) AS precision_5, coalesce(recall_5, 0.0::DOUBLE) AS recall_5, coalesce(ndcg_5, 0.0::DOUBLE) AS ndcg_5
+  FROM models)
+SELECT *, CAST(row_number() OVER (ORDER BY ndcg_5 DESC, precision_5 DESC, model) AS INTEGER) AS place FROM filled
+WHERE greatest(precision_5, recall_5, ndcg_5) > 0"""
 SQL["model_report"] = "SELECT * FROM results"
 SQL["best_model"] = """
 SELECT (SELECT model FROM results ORDER BY ndcg DESC, model LIMIT 1) AS best_ranking_model, max(ndcg) AS best_ndcg,

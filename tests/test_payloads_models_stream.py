@@ -114,6 +114,13 @@ def test_catalogue_of_a_root_with_and_without_scheme(spark, tmp_path):
     assert seen[0] == seen[1] == seen[2] and {x[:3] for x in seen[0]} == {("things", "table", "2024-01-01")}
 
 
+def test_performance_report(spark):
+    rows = [("a", "ndcg_5", 0.4), ("a", "precision_5", 0.1), ("b", "ndcg_5", 0.4), ("b", "precision_5", 0.2)]
+    rows += [("c", "recall_5", 0.9), ("d", "ndcg_5", 0.0), ("e", "map_5", 0.7)]
+    got = metrics.performance_report(spark.createDataFrame(rows, "model string, metric string, mean double"))
+    assert sorted((r.place, r.model, r.recall_5) for r in got.collect()) == [(1, "b", 0.0), (2, "a", 0.0), (3, "c", 0.9)]
+
+
 def test_means_over_users(spark):
     hits = spark.createDataFrame([("a", 0.2, 0.5), ("b", 0.6, 1.0)], "customer_unique_id string, precision double, recall double")
     ndcg = spark.createDataFrame([("a", 0.25), ("b", 0.5)], "customer_unique_id string, ndcg double")
