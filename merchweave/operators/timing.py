@@ -67,8 +67,9 @@ def temporal_split(rows: DataFrame, time: str, share: float = 0.8) -> DataFrame:
     """Add ``split``: train up to the moment by which ``share`` of the rows have happened, test after it.
 
     Rows of one moment stay together, so nothing in train is later than anything in test. Rows without a
-    time get NULL.
+    time get NULL. The rows are read several times to find that moment, so they are written once.
     """
+    rows = staged(rows, "split-rows")
     stamped = rows.select(_micros(F.col(time)).alias("at"))
     n = stamped.filter(F.col("at").isNotNull()).count()
     cut = nth_smallest(stamped, "at", max(1, -int(-(n * share) // 1))) if n else None
