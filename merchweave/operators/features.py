@@ -56,6 +56,19 @@ USER_FEATURES = [
     "aov_normalized",
 ]
 
+# Columns of the order lines that the three feature tables are made of.
+LINE_COLUMNS = [
+    "order_id",
+    "product_id",
+    "customer_unique_id",
+    "customer_state",
+    "category_english",
+    "order_purchase_timestamp",
+    "price",
+    "freight_value",
+    "review_score",
+]
+
 
 def _reviewed():
     return F.when(F.col("review_score") > 0, F.col("review_score"))

@@ -664,7 +664,8 @@ def training_set(shop: Shop) -> DataFrame:
 
 @query
 def training_set_wide(shop: Shop) -> DataFrame:
-    return store.training_set_wide(shop.interaction_features, shop.user_features, shop.item_features)
+    tables = shop.feature_tables
+    return store.training_set_wide(*[tables[t] for t in ("interaction_features", "user_features", "item_features")])
 
 
 @query

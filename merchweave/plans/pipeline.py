@@ -117,10 +117,12 @@ class Shop:
 
     @cached_property
     def feature_tables(self) -> dict[str, DataFrame]:
+        """All three feature tables, from order lines that are joined and written once."""
+        lines = staged(self.lines.select(*features.LINE_COLUMNS), "lines")
         return {
-            "user_features": self.user_features,
-            "item_features": self.item_features,
-            "interaction_features": self.interaction_features,
+            "user_features": features.build_user_features(lines),
+            "item_features": features.build_item_features(lines, self.products, self.one_hot),
+            "interaction_features": features.build_interaction_features(transactions.build_interactions(lines)),
         }
 
     @cached_property
