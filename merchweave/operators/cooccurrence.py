@@ -4,6 +4,9 @@ A pair never becomes a row. Items are dealt to blocks; a block gets, for every b
 items, those items and the whole basket as two lists, and counts its items' partners in numpy. Only the best ``k``
 partners of an item leave the task. A basket of any size is cut into chunks whose lists meet chunk by chunk,
 and an item with very many pairs has blocks of its own, each for one slice of its partners.
+
+Where there are few different items (categories, say), every one of them has very many pairs. A basket is then a short
+list whatever its lines, and every task adds its pairs up to one row per pair of items before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,6 +26,7 @@ from merchweave.session import staged
 PAIRS = 2_000_000  # occurrences of pairs that a block counts, about
 CHUNK = 256  # items of a basket in one list, about
 HELD = 4_000_000  # pairs in a task before equal ones are added up
+FEW_ITEMS = 500  # different items whose pairs every task may hold
 
 
 class Codes(dict):
@@ -123,24 +127,70 @@ def _arrow(spark_type, n: int) -> list[pa.DataType]:
     return [to_arrow_type(spark_type)] * n
 
 
+def few_items_counts(held: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """(item, partner, n_both) of all pairs, (item, n_baskets) and the number of baskets.
+
+    ``held`` has (basket, item); a basket's list has no more entries than there are different items.
+    """
+    lists = staged(held.groupBy("basket").agg(F.collect_set("item").alias("items")).select("items"), "basket-lists")
+    items = lists.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n_baskets"))
+    both = (
+        lists.filter(F.size("items") > 1)
+        .select("items", F.explode("items").alias("item"))
+        .select("item", F.explode("items").alias("partner"))
+        .filter("item <> partner")
+        .groupBy("item", "partner")
+        .agg(F.count("*").alias("n_both"))
+    )
+    return both, staged(items, "basket-items"), lists.agg(F.count("*")).scalar()
+
+
 def bought_together(
-    lines: DataFrame, basket: str, item: str, k: int = 10, pairs: int = PAIRS, chunk: int = CHUNK
+    lines: DataFrame, basket: str, item: str, k: int = 10, pairs: int = PAIRS, chunk: int = CHUNK, few: int = FEW_ITEMS
 ) -> DataFrame:
     """(item, rank, partner, n_both, support, confidence, lift) of the ``k`` best partners of every item.
 
     An item counts once in a basket. ``support`` is the share of all baskets that hold both, ``confidence`` the
     share of the item's baskets, ``lift`` the confidence over the partner's share of all baskets. Lines without
-    basket or item do not count. The item's column keeps its name, ``partner`` has its type.
+    basket or item do not count. The item's column keeps its name, ``partner`` has its type. About ``few`` different
+    items or less are counted without blocks; the result is the same.
     """
     kind = lines.schema[item].dataType.simpleString()
-    held = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item")).dropna().distinct()
+    held = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item")).dropna()
+    # Sets tell 0.0 from -0.0, which are one item.
+    if kind not in ("float", "double") and held.agg(F.approx_count_distinct("item")).first()[0] <= few:
+        counts, items, n_baskets = few_items_counts(held)
+    else:
+        counts, items, n_baskets = block_counts(held.distinct(), kind, k, pairs, chunk)
+    # A sliced item has k partners from every slice.
+    order = W.partitionBy("item").orderBy(F.desc("n_both"), F.asc("partner"))
+    best = (
+        counts.withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= k)
+        .join(items.select("item", "n_baskets"), "item")
+        .join(items.select(F.col("item").alias("partner"), F.col("n_baskets").alias("partner_baskets")), "partner")
+    )
+    both, all_ = F.col("n_both").cast("double"), n_baskets.cast("double")
+    return best.select(
+        F.col("item").alias(item),
+        "rank",
+        "partner",
+        "n_both",
+        round_half_even(both / all_, 9).alias("support"),
+        round_half_even(both / F.col("n_baskets"), 9).alias("confidence"),
+        round_half_even(both * all_ / (F.col("n_baskets") * F.col("partner_baskets")), 9).alias("lift"),
+    )
+
+
+def block_counts(held: DataFrame, kind: str, k: int, pairs: int, chunk: int) -> tuple[DataFrame, DataFrame, Column]:
+    """As ``few_items_counts`` for any number of items, with the best ``k`` partners of each block and slice only."""
     sizes = held.groupBy("basket").agg(F.count("*").alias("n_items"))
     sized = staged(held.join(sizes, "basket"), "baskets")
     n_baskets = sized.agg(F.count_distinct("basket")).scalar()
     items = sized.groupBy("item").agg(F.count("*").alias("n_baskets"), F.sum(F.col("n_items") - 1).alias("pairs"))
     items = staged(items.withColumn("slices", F.greatest(F.lit(1), F.ceil(F.col("pairs") / F.lit(pairs)))), "basket-items")
     total = items.filter("slices = 1").agg(F.sum("pairs")).first()[0] or 0
-    blocks = max(lines.sparkSession.sparkContext.defaultParallelism, math.ceil(total / pairs))
+    blocks = max(held.sparkSession.sparkContext.defaultParallelism, math.ceil(total / pairs))
     # Blocks behind the others belong to single items with many pairs.
     hashed = F.xxhash64("item")
     block = F.when(F.col("slices") > 1, F.pmod(hashed, F.lit(1 << 40)) + blocks).otherwise(F.pmod(hashed, F.lit(blocks)))
@@ -165,22 +215,4 @@ def bought_together(
     met = own.join(lists, "basket").select(
         "block", "slice", "own", F.when(F.col("slices") > 1, inside).otherwise(F.col("partners")).alias("partners")
     )
-    # A sliced item has k partners from every slice.
-    order = W.partitionBy("item").orderBy(F.desc("n_both"), F.asc("partner"))
-    best = (
-        partner_counts(met, kind, k)
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .join(items.select("item", "n_baskets"), "item")
-        .join(items.select(F.col("item").alias("partner"), F.col("n_baskets").alias("partner_baskets")), "partner")
-    )
-    both, all_ = F.col("n_both").cast("double"), n_baskets.cast("double")
-    return best.select(
-        F.col("item").alias(item),
-        "rank",
-        "partner",
-        "n_both",
-        round_half_even(both / all_, 9).alias("support"),
-        round_half_even(both / F.col("n_baskets"), 9).alias("confidence"),
-        round_half_even(both * all_ / (F.col("n_baskets") * F.col("partner_baskets")), 9).alias("lift"),
-    )
+    return partner_counts(met, kind, k), items, n_baskets

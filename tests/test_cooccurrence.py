@@ -77,3 +77,19 @@ def test_counts_are_added_up_when_many(monkeypatch):
         counts.add([[1, 2, 3], [4]], [[1, 2, 3], [1, 4]])
     items, partners, n = counts.best(1)
     assert list(zip(items, partners, n.tolist(), strict=True)) == [(1, 2, 5), (2, 1, 5), (3, 1, 5), (4, 1, 5)]
+
+
+@pytest.mark.parametrize("k,pairs,chunk,few", [(10, 10**6, 256, 0), (3, 50, 4, 0), (1000, 7, 2, 0), (3, 50, 4, 100)])
+def test_blocks_and_few_items_give_the_same(spark, k, pairs, chunk, few):
+    lines = orders(seed=2)
+    frame = spark.createDataFrame(lines, "order_id long, product_id string").repartition(5)
+    got = co.bought_together(frame, "order_id", "product_id", k, pairs, chunk, few)
+    for a, b in zip(sorted(map(tuple, got.collect())), plain(lines, k), strict=True):
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], abs=2e-9)
+
+
+def test_few_items_are_not_dealt_to_blocks(spark, monkeypatch):
+    """With few items every item has very many pairs, and each slice of an item got all its baskets."""
+    monkeypatch.setattr(co, "partner_counts", None)
+    frame = spark.createDataFrame([(b, i) for b in range(20) for i in range(4)], "o long, p long")
+    assert co.bought_together(frame, "o", "p", 2, pairs=5).count() == 8
