@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from merchweave.session import arrow_rows, partitions  # noqa: F401
+
 ASCII_SPACE = r"[\x20\x09-\x0D]"
 BATCH = 1000  # whole texts that go to a Python worker at a time
 
@@ -21,22 +22,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
 
 
-@contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """For what runs inside the block at most ``rows`` rows travel to a Python worker at once."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def let(value: str, name: str, body: str) -> str:
     """SQL text that evaluates ``value`` once and uses it as ``name`` in ``body``."""
     return f"transform(array({value}), {name} -> {body})[0]"

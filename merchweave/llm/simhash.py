@@ -30,11 +30,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchweave.llm.common import partitions
 from merchweave.session import staged
 
 WORDS = 3
 SEED = 42
 FEW = 8
+DEALT = 10_000  # fingerprints of one task, about
 SLICE = 65_536  # hashes whose bits are counted at once
 
 
@@ -99,7 +101,9 @@ def signatures(distinct: DataFrame) -> DataFrame:
 
 def links(distinct: DataFrame, few: int = FEW) -> DataFrame:
     """Pairs (a, b) that connect all fingerprints differing in at most two bits."""
-    variants = signatures(distinct)
+    # A task adds up 64 signatures of each of its fingerprints in memory, so no task gets very many fingerprints.
+    tasks = max(partitions(distinct.sparkSession), -(-distinct.count() // DEALT))
+    variants = signatures(distinct.repartition(tasks, "fp"))
     sizes = variants.groupBy("signature").agg(F.count("*").alias("n")).filter("n > 1")
     shared = staged(variants.join(sizes, "signature"), "signatures")
     small = shared.filter(F.col("n") <= few)
