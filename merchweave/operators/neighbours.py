@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchweave.functions.cosine import best_of_blocks, thresholds
-from merchweave.session import staged
+from merchweave.session import arrow_rows, staged
 
 BLOCK_ROWS = 2048
 ROWS_PER_TASK = 256
+# A row of the block work holds two whole blocks, so very few rows travel to Python at a time.
+ROWS_PER_BATCH = 8
 
 
 @dataclass(frozen=True)
@@ -229,7 +231,7 @@ def nearest(queries: DataFrame, profiles: Profiles) -> DataFrame:
         .withColumn("q_first", F.element_at("q_ids", 1))
         .drop("n_blocks")
     )
-    found = (
+    pairs = (
         visits.join(blocks, ["cell_group", "block"])
         .drop("block", "p_copies")
         .withColumn("n_categories", width)
@@ -240,6 +242,9 @@ def nearest(queries: DataFrame, profiles: Profiles) -> DataFrame:
             f"query_id {query_sql}, profile_id {owner_sql}, similarity double",
         )
     )
+    # Written here, because the setting holds when the work is done.
+    with arrow_rows(spark, ROWS_PER_BATCH):
+        found = staged(pairs, "nearest-found")
     ranked = nearest_owners(found, profiles.table.select("profile_id", "owners"), keep)
     lists = (
         ranked.groupBy("query_id").agg(

@@ -16,10 +16,11 @@ from merchweave.operators.neighbours import (
     profile_queries,
     request_queries,
 )
-from merchweave.session import staged
+from merchweave.session import partitions, staged
 
 NEIGHBOURS = 100
 PER_CATEGORY = 2
+TARGETS = 100_000  # categories of users that one task looks for items for
 
 
 def train_test_split(training: DataFrame, train_percent: int = 80) -> DataFrame:
@@ -224,7 +225,11 @@ def recommend_users(
     people = profile_of_owner(profiles).withColumnRenamed("owner", "customer_unique_id")
     if users is not None:
         people = people.join(users.select("customer_unique_id").distinct(), "customer_unique_id", "left_semi")
+    # Targets are few bytes before their items join, so tasks are not merged by size but grow with the users.
+    spark = grid.sparkSession
+    tasks = max(partitions(spark), -(-profiles.vectors.count() * n_items * 2 // TARGETS))
     targets = people.join(wanted, F.col("profile_id") == F.col("query_id")).drop("profile_id", "query_id")
+    targets = targets.repartition(tasks, "customer_unique_id", "category_english")
     items = staged(items_by_category(training), "items")
     seen = seen_items(training, exclude).join(
         items.select("category_english", "product_id", "item_place"), "product_id"
