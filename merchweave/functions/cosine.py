@@ -15,6 +15,7 @@ import pyarrow as pa
 # formed decides no tie.
 DIGITS = 9
 SLACK = 2e-9
+GATHERED = 50_000  # candidates that a block of queries gathers before they are put in order
 
 
 def _values(batch: pa.RecordBatch, name: str, row: int) -> pa.Array:
@@ -83,11 +84,15 @@ def thresholds(k: int, id_type: pa.DataType):
     """Kernel: lower bound of the k-th similarity from one block, and the cells worth a visit.
 
     ``cell_groups`` names the group of cells each category's cell belongs to, -1 for
-    cells without candidates. Gives one block of queries per group to visit.
+    cells without candidates. Gives one row per group to visit, with the queries of the
+    block that visit it, their places in the block (``q_at``) and the block's first id and size.
     """
     schema = pa.schema(
         [
             ("cell_group", pa.int32()),
+            ("q_block", id_type),
+            ("q_total", pa.int32()),
+            ("q_at", pa.list_(pa.int32())),
             ("q_ids", pa.list_(id_type)),
             ("q_floors", pa.list_(pa.float64())),
             ("q_sizes", pa.list_(pa.int32())),
@@ -115,6 +120,9 @@ def thresholds(k: int, id_type: pa.DataType):
                     part = queries[chosen]
                     at_row, at_cat = np.nonzero(part)
                     out["cell_group"].append(int(group))
+                    out["q_block"].append(ids[0].as_py())
+                    out["q_total"].append(len(queries))
+                    out["q_at"].append(chosen.astype(np.int32))
                     out["q_ids"].append(ids.take(pa.array(chosen)))
                     out["q_floors"].append(floors[chosen])
                     out["q_sizes"].append(np.bincount(at_row, minlength=len(chosen)).astype(np.int32))
@@ -128,35 +136,69 @@ def thresholds(k: int, id_type: pa.DataType):
 
 
 class _Best:
-    """The best k candidates so far of every query of one block."""
+    """The best k candidates so far of every query of one block.
 
-    def __init__(self, ids: pa.Array, queries: np.ndarray, floors: np.ndarray, k: int):
-        self.ids, self.queries, self.floors, self.k = ids, queries, floors.copy(), k
-        self.rows = np.empty(0, dtype=np.int64)
-        self.sims = np.empty(0)
-        self.owners: np.ndarray | None = None
+    What blocks offer is gathered and put in order once it is worth it. ``floors`` and ``last`` are the similarity
+    and the name of a query's k-th candidate; ``full`` says that there is one.
+    """
 
-    def meet(self, owners: np.ndarray, block: np.ndarray) -> None:
-        sims = np.round(self.queries @ block.T, DIGITS)
-        rows, columns = np.nonzero((sims >= self.floors[:, None]) & (sims > 0))
-        found, names = sims[rows, columns], owners[columns]
-        if self.owners is not None:
-            rows, found = np.concatenate([self.rows, rows]), np.concatenate([self.sims, found])
-            names = np.concatenate([self.owners, names])
+    def __init__(self, n: int, query_type: pa.DataType, k: int):
+        self.k, self.query_type = k, query_type
+        self.ids: list = [None] * n
+        self.floors, self.full = np.zeros(n), np.zeros(n, dtype=bool)
+        self.known = np.zeros(n, dtype=bool)
+        self.last: np.ndarray | None = None
+        self.rows, self.sims = np.empty(0, dtype=np.int64), np.empty(0)
+        self.owners: np.ndarray | None = None
+        self.offered: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def ask(self, at: np.ndarray, ids: list, floors: np.ndarray) -> None:
+        """Queries at the places ``at`` take part from now on, if they did not before."""
+        for place, name in zip(at.tolist(), ids, strict=True):
+            self.ids[place] = name
+        new = at[~self.known[at]]
+        self.floors[new] = floors[~self.known[at]]
+        self.known[at] = True
+
+    def meet(self, at: np.ndarray, queries: np.ndarray, owners: np.ndarray, block: np.ndarray) -> None:
+        sims = queries @ block.T
+        least = np.maximum(self.floors[at] - SLACK, np.finfo(float).tiny)
+        rows, columns = np.nonzero(sims >= least[:, None])
+        found, rows, names = np.round(sims[rows, columns], DIGITS), at[rows], owners[columns]
+        floors = self.floors[rows]
+        wanted = (found >= floors) & (found > 0)
+        if self.last is not None:
+            wanted &= (found > floors) | ~self.full[rows] | (names < self.last[rows])
+        if wanted.any():
+            self.offered.append((rows[wanted], found[wanted], names[wanted]))
+        if sum(len(o[0]) for o in self.offered) > max(GATHERED, len(self.rows) // 2):
+            self.settle()
+
+    def settle(self) -> None:
+        if not self.offered:
+            return
+        parts = [*self.offered, *([] if self.owners is None else [(self.rows, self.sims, self.owners)])]
+        rows, found, names = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((names, -found, rows))
         rows, found, names = rows[order], found[order], names[order]
         place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-        last = place == self.k - 1
-        self.floors[rows[last]] = np.maximum(self.floors[rows[last]], found[last])
+        at_k = place == self.k - 1
+        if self.last is None or self.last.dtype != names.dtype:
+            self.last = np.zeros(len(self.floors), names.dtype) if self.last is None else self.last.astype(names.dtype)
+        self.floors[rows[at_k]] = np.maximum(self.floors[rows[at_k]], found[at_k])
+        self.last[rows[at_k]] = names[at_k]
+        self.full[rows[at_k]] = True
         keep = place < self.k
-        self.rows, self.sims, self.owners = rows[keep], found[keep], names[keep]
+        self.rows, self.sims, self.owners, self.offered = rows[keep], found[keep], names[keep], []
 
     def batch(self, schema: pa.Schema) -> pa.RecordBatch:
-        query_type, owner_type = schema.field("query_id").type, schema.field("profile_id").type
+        self.settle()
+        owner_type = schema.field("profile_id").type
+        owners = [] if self.owners is None else self.owners.tolist()
         return pa.RecordBatch.from_arrays(
             [
-                self.ids.take(pa.array(self.rows)).cast(query_type),
-                pa.array(self.owners.tolist(), type=owner_type),
+                pa.array(self.ids, type=self.query_type).take(pa.array(self.rows)),
+                pa.array(owners, type=owner_type),
                 pa.array(self.sims),
             ],
             schema=schema,
@@ -166,27 +208,30 @@ class _Best:
 def best_of_blocks(k: int, query_type: pa.DataType, owner_type: pa.DataType):
     """Kernel: per query the best k candidates at or above its floor.
 
-    Rows with the same block of queries follow each other. Only one such block is
-    held at a time, and its floors rise as candidate blocks pass.
+    Rows with the same block of queries follow each other, those of one group of cells
+    together. Only one such block is held at a time, and its floors rise as candidate blocks pass.
     """
     schema = pa.schema([("query_id", query_type), ("profile_id", owner_type), ("similarity", pa.float64())])
 
     def run(batches):
-        current, best = None, None
+        current, visit, best = None, None, None
         for batch in batches:
             for row in range(batch.num_rows):
                 width = batch.column("n_categories")[row].as_py()
-                key = (batch.column("cell_group")[row].as_py(), batch.column("q_first")[row].as_py())
-                if key != current:
+                key = batch.column("q_block")[row].as_py()
+                if best is None or key != current:
                     if best is not None:
                         yield best.batch(schema)
-                    current = key
-                    best = _Best(
-                        _values(batch, "q_ids", row), _matrix(batch, "q", row, width), _numbers(batch, "q_floors", row), k
-                    )
+                    current, visit = key, None
+                    best = _Best(batch.column("q_total")[row].as_py(), query_type, k)
+                group = batch.column("cell_group")[row].as_py()
+                if group != visit:
+                    visit = group
+                    at, queries = _numbers(batch, "q_at", row).astype(np.int64), _matrix(batch, "q", row, width)
+                    best.ask(at, _values(batch, "q_ids", row).to_pylist(), _numbers(batch, "q_floors", row))
                 owners = _values(batch, "p_ids", row)
                 names = np.array(owners.to_pylist(), dtype=str) if pa.types.is_string(owner_type) else owners.to_numpy()
-                best.meet(names, _matrix(batch, "p", row, width))
+                best.meet(at, queries, names, _matrix(batch, "p", row, width))
         if best is not None:
             yield best.batch(schema)
 

@@ -2,7 +2,8 @@
 
 Plan, for any number of owners (users, or products described by terms):
 
-1. Owners with equal ratings share one *profile*. Only profiles are compared, so
+1. Owners whose ratings have the same direction (each is the same multiple of its
+   largest one) share one *profile*. Only profiles are compared, so
    a third of all users with one and the same profile cost one comparison. Each
    profile keeps its first k owners by id, which is all a top-k can use.
 2. Profiles are placed by their largest category (the *cell*) and cut by hash
@@ -12,8 +13,8 @@ Plan, for any number of owners (users, or products described by terms):
    similarity. A cell whose best possible cosine is below the floor is skipped;
    this loses nothing, because the bound holds for every vector of the cell.
 4. Query blocks meet the blocks of the cells left over, one pair of blocks at a
-   time. A task keeps the best k per query, raises the floor as it goes, and
-   gives out nothing else.
+   time. All visits of a query block are in one task, which keeps the best k per
+   query, raises the floor as it goes, and gives out nothing else.
 
 Similarities are rounded to nine digits. Ties go to the smaller owner id. Owners
 without a shared category have similarity 0 and fill up lists that are too short.
@@ -44,7 +45,7 @@ class Profiles:
 
     index: DataFrame  # category, cat
     table: DataFrame  # profile_id, entries, cats, weights, cell, owners
-    vectors: DataFrame  # owner, entries
+    vectors: DataFrame  # owner, entries (over the largest one)
     first_owners: Column  # scalar: the smallest owner ids, enough to fill up any list
     keep: int
 
@@ -56,12 +57,17 @@ def category_index(ratings: DataFrame, category: str) -> DataFrame:
 
 
 def rating_vectors(ratings: DataFrame, index: DataFrame, owner: str, category: str, rating: str) -> DataFrame:
-    """One row per owner: its positive ratings as an array ordered by category number."""
+    """One row per owner: its positive ratings over the largest of them as an array ordered by category number."""
     numbered = ratings.select(
         F.col(owner).alias("owner"), F.col(category).alias("category"), F.col(rating).cast("double").alias("rating")
     ).join(index, "category", "inner")
     entry = F.when(F.col("rating") > 0, F.struct(F.col("cat"), F.col("rating")))
-    return numbered.groupBy("owner").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    vectors = numbered.groupBy("owner").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    largest = F.array_max("entries.rating")
+    scaled = F.transform(
+        "entries", lambda e: F.struct(e["cat"].alias("cat"), F.try_divide(e["rating"], F.col("_largest")).alias("rating"))
+    )
+    return vectors.withColumn("_largest", largest).select("owner", scaled.alias("entries"))
 
 
 def _with_weights(df: DataFrame) -> DataFrame:
@@ -223,20 +229,19 @@ def nearest(queries: DataFrame, profiles: Profiles) -> DataFrame:
         .drop("_groups")
         .mapInArrow(
             thresholds(keep, _arrow_type(query_type)),
-            f"cell_group int, q_ids array<{query_sql}>, q_floors array<double>, q_sizes array<int>, "
-            "q_cats array<int>, q_weights array<double>",
+            f"cell_group int, q_block {query_sql}, q_total int, q_at array<int>, q_ids array<{query_sql}>, "
+            "q_floors array<double>, q_sizes array<int>, q_cats array<int>, q_weights array<double>",
         )
         .join(sizes, "cell_group")
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        .withColumn("q_first", F.element_at("q_ids", 1))
         .drop("n_blocks")
     )
     pairs = (
         visits.join(blocks, ["cell_group", "block"])
         .drop("block", "p_copies")
         .withColumn("n_categories", width)
-        .repartition(tasks, "cell_group", "q_first")
-        .sortWithinPartitions("cell_group", "q_first")
+        .repartition(tasks, "q_block")
+        .sortWithinPartitions("q_block", "cell_group")
         .mapInArrow(
             best_of_blocks(keep, _arrow_type(query_type), _arrow_type(owner_type)),
             f"query_id {query_sql}, profile_id {owner_sql}, similarity double",
@@ -277,11 +282,21 @@ def profile_queries(profiles: Profiles) -> DataFrame:
     return profiles.table.select(F.col("profile_id").alias("query_id"), "cats", "weights", "cell")
 
 
-def request_queries(requests: DataFrame, profiles: Profiles, weight: float = 5.0) -> DataFrame:
-    """Queries from (request_id, category): the same rating in each category of the grid."""
-    rated = requests.select("request_id", "category").distinct().withColumn("rating", F.lit(weight))
-    vectors = rating_vectors(rated, profiles.index, "request_id", "category", "rating")
-    return _with_weights(vectors).select(F.col("owner").alias("query_id"), "entries", "cats", "weights", "cell")
+def request_queries(requests: DataFrame, profiles: Profiles) -> DataFrame:
+    """Queries from (request_id, category): the same rating in each category of the grid, none for other requests."""
+    return weighted(request_vectors(requests, profiles).filter(F.size("entries") > 0))
+
+
+def request_vectors(requests: DataFrame, profiles: Profiles) -> DataFrame:
+    """(query_id, entries) of every request; repeated categories count once, those the grid does not have not at all."""
+    numbered = requests.select(F.col("request_id").alias("query_id"), "category").join(profiles.index, "category", "left")
+    entry = F.when(F.col("cat").isNotNull(), F.struct("cat", F.lit(1.0).alias("rating")))
+    return numbered.groupBy("query_id").agg(F.array_sort(F.collect_set(entry)).alias("entries"))
+
+
+def weighted(vectors: DataFrame) -> DataFrame:
+    """Queries from (query_id, entries)."""
+    return _with_weights(vectors)
 
 
 def owner_neighbours(profiles: Profiles, k: int) -> DataFrame:

@@ -14,7 +14,8 @@ from merchweave.operators.neighbours import (
     nearest,
     profile_of_owner,
     profile_queries,
-    request_queries,
+    request_vectors,
+    weighted,
 )
 from merchweave.session import partitions, staged
 
@@ -87,17 +88,26 @@ def items_by_category(training: DataFrame) -> DataFrame:
     )
 
 
-def category_shares(lists: DataFrame, grid: DataFrame) -> DataFrame:
+def category_shares(lists: DataFrame, profiles: Profiles) -> DataFrame:
     """Per query and category: percentage of the neighbours with a positive rating there."""
-    size = F.size("neighbours")
-    members = lists.select("query_id", size.alias("n_neighbours"), F.explode("neighbours.owner").alias("_owner"))
-    rated = grid.filter(F.col("rating") > 0).select(F.col("customer_unique_id").alias("_owner"), "category_english")
+    members = lists.select(
+        "query_id", F.size("neighbours").alias("n_neighbours"), F.explode("neighbours.owner").alias("owner")
+    )
+    # One row per neighbour goes back to its query; its categories become rows only there.
+    rated = members.join(profiles.vectors.select("owner", F.col("entries.cat").alias("_cats")), "owner")
     return (
-        members.join(rated, "_owner")
-        .groupBy("query_id", "category_english")
+        rated.select("query_id", "n_neighbours", "_cats")
+        .repartition("query_id")
+        .select("query_id", "n_neighbours", F.explode("_cats").alias("cat"))
+        .groupBy("query_id", "cat")
         .agg(F.count("*").alias("n"), F.max("n_neighbours").alias("n_neighbours"))
-        .withColumn(
-            "share_pct", F.try_divide(F.col("n").cast("double"), F.col("n_neighbours").cast("double")) * 100
+        .join(profiles.index.withColumnRenamed("category", "category_english"), "cat")
+        .select(
+            "query_id",
+            "category_english",
+            "n",
+            "n_neighbours",
+            (F.try_divide(F.col("n").cast("double"), F.col("n_neighbours").cast("double")) * 100).alias("share_pct"),
         )
     )
 
@@ -220,7 +230,7 @@ def recommend_users(
     queries = profile_queries(profiles)
     lists = nearest(queries, profiles)
     wanted = top_categories(
-        category_shares(lists, grid), _named(profiles, queries), catalogue_of(profiles), n_items * 2
+        category_shares(lists, profiles), _named(profiles, queries), catalogue_of(profiles), n_items * 2
     )
     people = profile_of_owner(profiles).withColumnRenamed("owner", "customer_unique_id")
     if users is not None:
@@ -241,28 +251,30 @@ def recommend_users(
     return _final_list(scored, "customer_unique_id", n_items)
 
 
-def request_shares(requests: DataFrame, grid: DataFrame) -> tuple[Profiles, DataFrame, DataFrame, DataFrame]:
+def request_shares(requests: DataFrame, grid: DataFrame) -> tuple[Profiles, DataFrame, DataFrame, DataFrame, DataFrame]:
     """Neighbour shares of category requests; equal requests are answered once.
 
-    Gives the profiles, (request_id, query_id), the queries and the shares.
+    Gives the profiles, (request_id, query_id), the queries, the shares and (request_id) of requests
+    without a known category.
     """
     profiles = build_profiles(grid, NEIGHBOURS)
-    asked = staged(request_queries(requests, profiles), "requests")
-    same = asked.groupBy("entries").agg(F.min("query_id").alias("_first"))
-    answers = asked.join(same, "entries").select(F.col("query_id").alias("request_id"), F.col("_first").alias("query_id"))
-    queries = asked.join(answers.select("query_id").distinct(), "query_id", "left_semi").filter(F.size("cats") > 0)
-    return profiles, answers, queries, category_shares(nearest(queries, profiles), grid)
+    asked = staged(request_vectors(requests, profiles), "requests")
+    known = asked.filter(F.size("entries") > 0)
+    same = staged(known.groupBy("entries").agg(F.min("query_id").alias("_first")), "equal-requests")
+    answers = known.join(same, "entries").select(F.col("query_id").alias("request_id"), F.col("_first").alias("query_id"))
+    queries = weighted(same.filter(F.col("_first").isNotNull()).select(F.col("_first").alias("query_id"), "entries"))
+    # A request without an id is never known by it.
+    unknown = asked.filter((F.size("entries") == 0) | F.col("query_id").isNull()).select(F.col("query_id").alias("request_id"))
+    return profiles, answers, queries, category_shares(nearest(queries, profiles), profiles), unknown
 
 
 def category_targets(requests: DataFrame, grid: DataFrame, limit: int) -> DataFrame:
     """Categories to offer per request; requests without a known category get the most popular ones."""
-    profiles, answers, queries, shares = request_shares(requests, grid)
+    profiles, answers, queries, shares, unknown = request_shares(requests, grid)
     wanted = top_categories(shares, _named(profiles, queries), catalogue_of(profiles), limit)
     matched = answers.join(wanted, "query_id").select(
         "request_id", "category_english", "share_pct", F.lit("KNN").alias("recommendation_type")
     )
-    known = requests.join(profiles.index.select("category"), "category", "left_semi").select("request_id").distinct()
-    unknown = requests.select("request_id").distinct().join(known, "request_id", "left_anti")
     popular = popular_categories(grid).filter(F.col("place") <= limit)
     fallback = unknown.withColumn("place", F.explode(F.sequence(F.lit(1), F.lit(limit)))).join(popular, "place")
     return matched.unionByName(
@@ -293,7 +305,7 @@ def recommend_categories(
 
 def category_confidence(requests: DataFrame, grid: DataFrame, top: int = 5) -> DataFrame:
     """The report: best categories with a positive share for each request."""
-    profiles, answers, queries, shares = request_shares(requests, grid)
+    profiles, answers, queries, shares, _ = request_shares(requests, grid)
     wanted = top_categories(shares, _named(profiles, queries), catalogue_of(profiles), top)
     return (
         answers.join(wanted.filter(F.col("share_pct") > 0), "query_id")

@@ -824,21 +824,18 @@ def _basket_requests(shop: Shop) -> DataFrame:
         shop.role("order_items")
         .join(named, "product_id")
         .select(F.col("order_id").alias("request_id"), "category")
-        .distinct()
     )
 
 
 @query
 def recommend_categories(shop: Shop) -> DataFrame:
-    requests = staged(_basket_requests(shop), "asked")
-    return recommend.recommend_categories(requests, shop.training, shop.model_grid)
+    return recommend.recommend_categories(_basket_requests(shop), shop.training, shop.model_grid)
 
 
 @query
 def recommend_fallback(shop: Shop) -> DataFrame:
     """Categories offered to every basket, with the way they were found."""
-    requests = staged(_basket_requests(shop), "asked")
-    return round_doubles(recommend.category_targets(requests, shop.model_grid, 10), 6)
+    return round_doubles(recommend.category_targets(_basket_requests(shop), shop.model_grid, 10), 6)
 
 
 def _report_requests(shop: Shop) -> DataFrame:
