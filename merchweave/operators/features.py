@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchweave.functions.ordering import ranked_values
@@ -56,13 +56,12 @@ USER_FEATURES = [
     "aov_normalized",
 ]
 
-# Columns of the order lines that the three feature tables are made of.
+# Columns of the order lines that the three feature tables are made of, next to the category.
 LINE_COLUMNS = [
     "order_id",
     "product_id",
     "customer_unique_id",
     "customer_state",
-    "category_english",
     "order_purchase_timestamp",
     "price",
     "freight_value",
@@ -100,9 +99,10 @@ def user_aggregates(transactions: DataFrame) -> DataFrame:
     )
 
 
-def build_user_features(transactions: DataFrame) -> DataFrame:
+def build_user_features(transactions: DataFrame, latest: Column | None = None) -> DataFrame:
+    """``latest`` is the time of the latest purchase, where ``transactions`` does not hold all lines."""
     grouped = staged(user_aggregates(transactions), "user-aggregates")
-    latest = grouped.agg(F.max("last_purchase")).scalar()
+    latest = grouped.agg(F.max("last_purchase")).scalar() if latest is None else latest
     users = grouped.filter(F.col("customer_unique_id").isNotNull())
     bounds = bounds_of(users, "total_spending", "avg_order_value")
     features = users.withColumns(

@@ -31,22 +31,26 @@ def with_time_parts(df: DataFrame, stamp: str = "order_purchase_timestamp") -> D
 
 
 def purchase_lines(
-    orders: DataFrame, items: DataFrame, reviews: DataFrame, customers: DataFrame, products: DataFrame
+    orders: DataFrame, items: DataFrame, reviews: DataFrame, customers: DataFrame, products: DataFrame | None = None
 ) -> DataFrame:
-    """Order lines with score, user and category: what features and models read.
+    """Order lines with score, user and (given the products) category: what features and models read.
 
     User and score belong to the order and join it before its lines do, so lines are shuffled by product and by
     order only. The order comes last: its lines then stand in one task and collapse before they go to their user.
     """
     people = customers.select("customer_id", "customer_unique_id", "customer_state")
-    goods = products.select("product_id", "category_english")
     placed = with_reviews(orders.join(people, "customer_id", "left"), reviews)
-    lines = orders_with_items(placed, items.join(goods, "product_id", "left"))
+    lines = orders_with_items(placed, items if products is None else line_categories(items, products))
     first, last = ["product_id", "customer_id", "order_id"], ["review_score", "has_review_text"]
-    last += [*people.columns[1:], *goods.columns[1:]]
+    last += [*people.columns[1:], *(["category_english"] if products is not None else [])]
     return lines.select(*first, *[c for c in [*orders.columns, *items.columns] if c not in first], *last)
 
 
+def line_categories(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines with the category of their product; a product listed twice repeats them."""
+    return lines.join(products.select("product_id", "category_english"), "product_id", "left")
+
+
 def build_transactions(
     orders: DataFrame,
     items: DataFrame,
