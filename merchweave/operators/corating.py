@@ -48,7 +48,7 @@ def unit_vectors(ratings: DataFrame) -> DataFrame:
 
 
 def _profiles(vectors: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
-    """(item, profile_id) and (profile_id, owners), the first ``keep`` products of each profile."""
+    """(item, profile_id) and (profile_id, owners, raters), the first ``keep`` products of each profile."""
 
     def fingerprint(seed: int):
         return F.sum(F.xxhash64("user", same, F.lit(seed)).cast("decimal(20,0)")).alias(f"h{seed}")
@@ -67,13 +67,14 @@ def _profiles(vectors: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
     )
     table = staged(table, "corated-profiles")
     return items.join(table.select(*key, "profile_id"), key).select("item", "profile_id"), table.select(
-        "profile_id", "owners"
+        "profile_id", "owners", "raters"
     )
 
 
 def _entries(vectors: DataFrame, owners: DataFrame) -> DataFrame:
     """Entries of the profiles with the norm of what remains from each user on, users ordered by use."""
-    chosen = vectors.join(owners.select(F.col("profile_id").alias("item"), F.size("owners").alias("copies")), "item")
+    profiles = owners.select(F.col("profile_id").alias("item"), F.size("owners").alias("copies"), F.col("raters").alias("n"))
+    chosen = vectors.join(profiles, "item")
     chosen = staged(chosen.withColumnRenamed("item", "p"), "profile-entries")
     use = chosen.groupBy("user").agg(F.count("*").alias("use"))
     ordered = chosen.join(use, "user").withColumn("sq", F.col("w") * F.col("w"))
@@ -82,14 +83,14 @@ def _entries(vectors: DataFrame, owners: DataFrame) -> DataFrame:
         ordered, ["use", "user"], "sq", group=["p"], descending=["use", "user"], total_before="_after"
     )
     return walked.select(
-        "p", "user", "w", "copies", F.sqrt(F.col("_after") + F.col("sq")).alias("rest"), (F.col("_after") == 0).alias("is_last")
+        "p", "user", "w", "copies", "n", F.sqrt(F.col("_after") + F.col("sq")).alias("rest"), (F.col("_after") == 0).alias("is_last")
     )
 
 
 def _best_of_user(entries: DataFrame, keep: int) -> DataFrame:
     order = W.partitionBy("user").orderBy(F.round("w", EQUAL_DIGITS).desc(), "p")
     return (
-        entries.select("user", "p", "w", "copies")
+        entries.select("user", "p", "w", "copies", "n")
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= keep)
     )
@@ -108,41 +109,48 @@ def _floors(entries: DataFrame, best: DataFrame, keep: int) -> DataFrame:
 
 
 def _pairs(entries: DataFrame, wanted: DataFrame, best: DataFrame, floors: DataFrame) -> DataFrame:
-    """Pairs (p, q) that can be among the nearest of p, for the profiles in ``wanted``."""
+    """Pairs (a, b), a having no more raters than b, that can be among the nearest of one in ``wanted``."""
     asking = entries.join(wanted, "p", "left_semi")
-    at_last = asking.filter("is_last").select("p", "user").join(best.select("user", F.col("p").alias("q")), "user")
+    offered_last = best.select("user", F.col("p").alias("q"), F.col("n").alias("m"))
+    at_last = asking.filter("is_last").select("p", "n", "user").join(offered_last, "user")
     needed = F.try_divide(F.col("floor") - F.lit(SLACK), F.col("rest"))
     open_ended = (
         asking.filter(~F.col("is_last"))
         .join(floors, "p")
         .withColumn("needed", F.greatest(needed, F.lit(0.0)))
         .filter(F.col("needed") <= 1.0)
-        .select("p", "user", "needed")
+        .select("p", "n", "user", "needed")
         .withColumn("level", F.explode(F.sequence(F.floor(F.col("needed") * LEVELS).cast("int"), F.lit(LEVELS))))
     )
     offered = entries.select(
-        "user", F.col("p").alias("q"), "rest", F.least(F.floor(F.col("rest") * LEVELS).cast("int"), F.lit(LEVELS)).alias("level")
+        "user",
+        F.col("p").alias("q"),
+        F.col("n").alias("m"),
+        "rest",
+        F.least(F.floor(F.col("rest") * LEVELS).cast("int"), F.lit(LEVELS)).alias("level"),
     )
     before_last = open_ended.join(offered, ["user", "level"]).filter(F.col("rest") >= F.col("needed"))
+    both = at_last.select("p", "q", "n", "m").unionByName(before_last.select("p", "q", "n", "m"))
+    # A pair is compared once, whichever of the two asks: as the shorter vector and the other one.
+    first = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("p") < F.col("q")))
     return (
-        at_last.select("p", "q").unionByName(before_last.select("p", "q")).filter(F.col("p") != F.col("q")).distinct()
+        both.filter(F.col("p") != F.col("q"))
+        .select(
+            F.when(first, F.col("p")).otherwise(F.col("q")).alias("a"),
+            F.when(first, F.col("q")).otherwise(F.col("p")).alias("b"),
+        )
+        .distinct()
     )
 
 
 def _similarities(pairs: DataFrame, entries: DataFrame) -> DataFrame:
     """Cosine of each pair, walking the shorter vector of the two."""
-    sizes = entries.groupBy("p").agg(F.count("*").alias("n"))
-    sized = pairs.join(sizes, "p").join(sizes.select(F.col("p").alias("q"), F.col("n").alias("m")), "q")
-    shorter = F.col("n") <= F.col("m")
-    placed = sized.select(
-        "p", "q", F.when(shorter, F.col("p")).otherwise(F.col("q")).alias("a"), F.when(shorter, F.col("q")).otherwise(F.col("p")).alias("b")
-    )
     left = entries.select(F.col("p").alias("a"), "user", F.col("w").alias("wa"))
     right = entries.select(F.col("p").alias("b"), "user", F.col("w").alias("wb"))
     return (
-        placed.join(left, "a")
+        pairs.join(left, "a")
         .join(right, ["b", "user"])
-        .groupBy("p", "q")
+        .groupBy("a", "b")
         .agg(round_half_even(F.sum(F.col("wa") * F.col("wb")), DIGITS).alias("similarity"))
     )
 
@@ -162,12 +170,17 @@ def item_neighbours(ratings: DataFrame, items: DataFrame | None = None, k: int =
     entries = staged(_entries(vectors, owners), "entries")
     best = _best_of_user(entries, keep)
     pairs = _pairs(entries, wanted, best, _floors(entries, best, keep))
+    # Each pair counts for both of its products; a similarity that one did not ask for changes nothing.
+    directions = F.array(
+        *[F.struct(F.col(q).alias("query_id"), F.col(o).alias("profile_id")) for q, o in (("a", "b"), ("b", "a"))]
+    )
+    compared = _similarities(pairs, entries).select(F.inline(directions), "similarity")
+    if items is not None:
+        compared = compared.join(wanted.select(F.col("p").alias("query_id")), "query_id", "left_semi")
     found = (
-        _similarities(pairs, entries)
-        .select(F.col("p").alias("query_id"), F.col("q").alias("profile_id"), "similarity")
-        .unionByName(wanted.select(F.col("p").alias("query_id"), F.col("p").alias("profile_id"), F.lit(1.0).alias("similarity")))
+        compared.unionByName(wanted.select(F.col("p").alias("query_id"), F.col("p").alias("profile_id"), F.lit(1.0).alias("similarity")))
     )
-    near = nearest_owners(found, owners, keep)
+    near = nearest_owners(found, owners.drop("raters"), keep)
     lists = near.groupBy("query_id").agg(
         F.array_sort(F.collect_list(F.struct("place", "owner", "similarity"))).alias("_found")
     )
