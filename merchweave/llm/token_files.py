@@ -118,7 +118,6 @@ def unpack_ids(payload: bytes, starts: list[int]) -> np.ndarray:
 def write(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> None:
     """Write the corpus to ``path``, a folder of any store Spark knows."""
     tokenizer = tokenizer or tokens.default_path()
-    end = np.asarray([tokens.END], "<u4").tobytes()
     kind = docs.schema[id_column].dataType.simpleString()
     schema = (
         f"segment bigint, n_tokens bigint, payload binary, block_starts array<bigint>, "
@@ -126,20 +125,20 @@ def write(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "te
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(tokenizer).ids
-        held: list[bytes] = []
+        encode = tokens.encoder(tokenizer).batch
+        held: list[np.ndarray] = []
         names: list = []
         size, segment, id_type = 0, 0, None
 
         def close() -> pa.RecordBatch:
-            payload, starts = pack_ids(np.frombuffer(b"".join(held), "<u4"))
+            payload, starts = pack_ids(np.concatenate(held))
             columns = [
                 pa.array([segment], pa.int64()),
                 pa.array([size], pa.int64()),
                 pa.array([payload], pa.binary()),
                 pa.array([starts], pa.list_(pa.int64())),
                 pa.array([names], pa.list_(id_type)),
-                pa.array([[len(b) // 4 for b in held]], pa.list_(pa.int64())),
+                pa.array([[len(b) for b in held]], pa.list_(pa.int64())),
             ]
             return pa.RecordBatch.from_arrays(
                 columns, ["segment", "n_tokens", "payload", "block_starts", "doc_ids", "doc_lengths"]
@@ -147,13 +146,16 @@ def write(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "te
 
         for batch in batches:
             id_type = batch.column(0).type
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.append(encode(value or "") + end)
-                names.append(name)
-                size += len(held[-1]) // 4
-                if size >= SEGMENT:
-                    yield close()
-                    held, names, size, segment = [], [], 0, segment + 1
+            every = iter(batch.column(0).to_pylist())
+            for ids, places in encode(batch.column(1)):
+                ends = places.tolist()
+                for a, b, name in zip(ends, ends[1:], every, strict=False):
+                    held.append(ids[a:b])
+                    names.append(name)
+                    size += b - a
+                    if size >= SEGMENT:
+                        yield close()
+                        held, names, size, segment = [], [], 0, segment + 1
         if held:
             yield close()
 
