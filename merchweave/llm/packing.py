@@ -35,24 +35,28 @@ BLOCK = 200_000  # documents
 
 def lengths(docs: DataFrame, id_column: str, text: str, tokenizer: str, length: int) -> DataFrame:
     """doc_id, n_tokens (with the end id), first (length of piece 0) and the CRC-32 of every piece's ids."""
-    end = np.asarray([tokens.END], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(tokenizer).ids
+        encode = tokens.encoder(tokenizer).batch
         for batch in batches:
-            n, first, crcs = [], [], []
-            for value in batch.column(1).to_pylist():
-                ids = memoryview(encode(value or "") + end)
-                size = len(ids) // 4
-                cut = (size - 1) % length + 1
-                n.append(size)
-                first.append(cut)
-                ends = range(cut, size + 1, length)
-                crcs.append([zlib.crc32(ids[4 * max(0, e - (cut if e == cut else length)) : 4 * e]) for e in ends])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(first, pa.int32()), pa.array(crcs, pa.list_(pa.int64()))],
-                ["doc_id", "n_tokens", "first", "crcs"],
-            )
+            at = 0
+            for ids, places in encode(batch.column(1)):
+                n = np.diff(places)
+                first = (n - 1) % length + 1
+                raw, crcs = memoryview(ids).cast("B"), []
+                for start, cut, end in zip(places[:-1].tolist(), (places[:-1] + first).tolist(), places[1:].tolist(), strict=True):
+                    starts = [start, *range(cut, end, length)]
+                    crcs.append([zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts, [*starts[1:], end], strict=True)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(at, len(n)),
+                        pa.array(n, pa.int64()),
+                        pa.array(first, pa.int32()),
+                        pa.array(crcs, pa.list_(pa.int64())),
+                    ],
+                    ["doc_id", "n_tokens", "first", "crcs"],
+                )
+                at += len(n)
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(F.col(id_column).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
