@@ -4,6 +4,9 @@ Multiplicative updates need three things of a factor: its products with the know
 and a sum over the ratings alone, its own rows, and the small matrix of all products of its columns. The zeros
 are in that matrix and never become rows. Each update writes the new factor; then the column products are summed over
 it. Only these rank x rank numbers come to the driver, whatever the size of the matrix.
+
+Ratings are written twice, in buckets of their user and of their item, and factors in buckets of their id. What an
+update shuffles is then the products of ratings and factor on their way to the row they are added up for.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchweave.functions.scalars import clip, mean_of_tenths
-from merchweave.session import discard, staged
+from merchweave.session import bucketed, discard, staged
 
 RANK = 20
 ROUNDS = 200
@@ -51,8 +54,8 @@ class Factor:
     fit: float
 
 
-def _written(rows: DataFrame, rank: int, name: str) -> Factor:
-    table = staged(rows, name)
+def _written(rows: DataFrame, rank: int, key: str, placed: bool = False) -> Factor:
+    table = bucketed(rows, key, f"factor-{key}", placed)
     columns = names(rank)
     upper = [(i, j) for i in range(rank) for j in range(i, rank)]
     sums = [F.sum(F.col(columns[i]) * F.col(columns[j])) for i, j in upper]
@@ -63,10 +66,11 @@ def _written(rows: DataFrame, rank: int, name: str) -> Factor:
     return Factor(table, gram, fit or 0.0)
 
 
-def updated(ratings: DataFrame, own: Factor, own_key: str, other: Factor, other_key: str, rank: int) -> Factor:
-    """``own`` after one multiplicative update against ``other``; ``ratings`` has both keys and ``x``.
+def updated_rows(ratings: DataFrame, own: Factor, own_key: str, other: Factor, other_key: str, rank: int) -> DataFrame:
+    """The rows of ``own`` after one multiplicative update against ``other``; ``ratings`` has both keys and ``x``.
 
-    ``fit`` is each row's part in the product of ratings and prediction.
+    ``fit`` is each row's part in the product of ratings and prediction. Ratings in buckets of ``other_key`` are
+    joined without a shuffle.
     """
     columns, gram = names(rank), other.gram
     products = (
@@ -87,7 +91,12 @@ def updated(ratings: DataFrame, own: Factor, own_key: str, other: Factor, other_
                 [batch.column(0), *(pa.array(c) for c in new.T), pa.array(fit)], [own_key, *columns, "fit"]
             )
 
-    return _written(joined.mapInArrow(run, own.rows.schema), rank, f"factor-{own_key}")
+    return joined.mapInArrow(run, own.rows.schema)
+
+
+def updated(ratings: DataFrame, own: Factor, own_key: str, other: Factor, other_key: str, rank: int) -> Factor:
+    """``own`` after one update, written."""
+    return _written(updated_rows(ratings, own, own_key, other, other_key, rank), rank, own_key, placed=True)
 
 
 @dataclass
@@ -119,16 +128,17 @@ def factorise(
     mean of its ratings.
     """
     known = ratings.groupBy("user", "item").agg(F.avg("x").alias("x")).filter(F.col("x") > 0)
-    known = staged(known, "known-ratings")
+    known = bucketed(known, "user", "known-ratings")
+    by_item = bucketed(known, "item", "known-ratings")
     people, goods = staged(user_ids.distinct(), "matrix-users"), staged(item_ids.distinct(), "matrix-items")
     total, squares = known.agg(F.sum("x"), F.sum(F.col("x") * F.col("x"))).first()
     cells = people.count() * goods.count()
     scale = math.sqrt((total or 0.0) / max(1, cells) / rank)
-    users = _written(starting_factor(people, "user", "user", scale, rank), rank, "factor-user")
-    items = _written(starting_factor(goods, "item", "item", scale, rank), rank, "factor-item")
+    users = _written(starting_factor(people, "user", "user", scale, rank), rank, "user")
+    items = _written(starting_factor(goods, "item", "item", scale, rank), rank, "item")
     errors: list[float] = []
     for done in range(1, rounds + 1):
-        for_users = updated(known, users, "user", items, "item", rank)
+        for_users = updated(by_item, users, "user", items, "item", rank)
         discard(users.rows)  # the new table holds all that later rounds need
         for_items = updated(known, items, "item", for_users, "user", rank)
         discard(items.rows)

@@ -64,8 +64,21 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str, placed: bool = False) -> DataFrame:
+    """As ``staged``, in as many buckets of ``key`` as a shuffle has partitions: joins on ``key`` need no shuffle.
+
+    With ``placed`` the rows are written where they stand, for tasks that hold one bucket each.
+    """
+    spark, n = df.sparkSession, partitions(df.sparkSession)
+    table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+    rows = df if placed else df.repartition(n, key)
+    path = f"{shared_dir(spark)}/merchweave/{table}"
+    rows.write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def discard(df: DataFrame) -> None:
-    """Delete a table that ``staged`` wrote, once nothing will read it any more."""
+    """Delete a table that ``staged`` or ``bucketed`` wrote, once nothing will read it any more."""
     spark = df.sparkSession
     folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
     for folder in folders:
@@ -73,6 +86,7 @@ def discard(df: DataFrame) -> None:
             raise ValueError(f"{folder} is no staged table")
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        spark.sql(f"DROP TABLE IF EXISTS `{folder.rsplit('/', 1)[1]}`")
 
 
 @contextmanager

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from merchweave.operators import factorization as nmf
-from merchweave.session import discard, staged
+from merchweave.session import bucketed, discard, staged
 
 RANK = 3
 
@@ -79,3 +79,23 @@ def test_discard_deletes_staged_tables_only(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "other"))
     with pytest.raises(ValueError, match="no staged table"):
         discard(spark.read.parquet(str(tmp_path / "other")))
+
+
+def test_an_update_shuffles_products_only(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = spark.createDataFrame(ratings(), "user long, item string, x double")
+        model = nmf.factorise(frame, frame.select("user"), frame.select("item"), RANK, rounds=1)
+        by_item = bucketed(frame, "item", "known-ratings")
+        rows = nmf.updated_rows(by_item, model.users, "user", model.items, "item", RANK)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning(user") == 1
+        assert plan.count("Exchange") == 1
+        files = [f.rsplit("_", 1)[1] for f in model.users.rows.inputFiles()]
+        assert len(files) == len(set(files))  # one file a bucket
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    name = by_item.inputFiles()[0].rsplit("/", 2)[1]
+    discard(by_item)
+    assert not spark.catalog.tableExists(name)
