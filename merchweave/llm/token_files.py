@@ -42,6 +42,12 @@ PERCENTILE = 90
 SEGMENT = 1 << 18  # ids
 HEAD = 9  # bytes before the packed values
 _POWERS = np.asarray([1 << i for i in range(32)], np.uint32)
+_BITS = np.searchsorted(_POWERS, np.arange(1 << 16), side="right").astype(np.uint8)
+
+
+def _needed(values: np.ndarray) -> np.ndarray:
+    """The bits of every value; by a table where all are below 16 bits, as most ids are."""
+    return _BITS[values] if values.max() < len(_BITS) else np.searchsorted(_POWERS, values, side="right")
 
 
 def _widths(need: np.ndarray) -> np.ndarray:
@@ -52,21 +58,48 @@ def _widths(need: np.ndarray) -> np.ndarray:
     return np.argmax(over <= n * (100 - PERCENTILE) / 100, axis=1)
 
 
+def _packed(values: np.ndarray, w: int) -> np.ndarray:
+    """The low ``w`` bits of all values of a row one after the other, in whole bytes: eight values are ``w`` bytes."""
+    rows, n = values.shape
+    wide = np.uint32 if w + 7 <= 32 else np.uint64
+    eights = np.zeros((rows, (n + 7) // 8 * 8), wide)
+    eights[:, :n] = values & np.uint32((1 << w) - 1)
+    eights = eights.reshape(rows, -1, 8)
+    out = np.zeros((*eights.shape[:2], w), np.uint8)
+    for i in range(8 if w else 0):
+        byte, bit = divmod(i * w, 8)
+        moved = eights[:, :, i] << wide(bit)
+        for j in range(byte, (i * w + w - 1) // 8 + 1):
+            out[:, :, j] |= moved.astype(np.uint8)
+            moved >>= wide(8)
+    return out.reshape(rows, -1)[:, : (n * w + 7) // 8]
+
+
+def _unpacked(packed: np.ndarray, n: int, w: int) -> np.ndarray:
+    """The ``n`` values of every row that ``_packed`` made: each is cut out of the four or eight bytes it begins in."""
+    rows, size = packed.shape
+    wide = np.dtype("<u4" if w + 7 <= 32 else "<u8")
+    padded = np.zeros((rows, size + wide.itemsize), np.uint8)
+    padded[:, :size] = packed
+    byte, bit = np.divmod(np.arange(n) * w, 8)
+    values = np.ndarray((rows, size + 1), wide, padded, strides=(padded.shape[1], 1))[:, byte]
+    values >>= bit.astype(wide)
+    values &= wide.type((1 << w) - 1)
+    return values.astype(np.uint32, copy=False)
+
+
 def _pack_rows(ids: np.ndarray) -> list[bytes]:
     """The blocks of an array with one block per row; rows of one width are packed together."""
     n = ids.shape[1]
     base = ids.min(axis=1)
     values = ids - base[:, None]
-    need = np.searchsorted(_POWERS, values, side="right")
+    need = _needed(values)
     width = _widths(need)
     out: list[bytes] = [b""] * len(ids)
     for w in np.unique(width).tolist():
         rows = np.flatnonzero(width == w)
         own = values[rows]
-        size = 2 if w <= 16 else 4
-        low = np.ascontiguousarray(own.astype(f"<u{size}")).view(np.uint8).reshape(-1, size)
-        bits = np.unpackbits(low, axis=1, count=w, bitorder="little").reshape(len(rows), n * w)
-        packed = np.packbits(bits, axis=1, bitorder="little")
+        packed = _packed(own, w)
         where, odd = np.nonzero(need[rows] > w)
         ends = np.searchsorted(where, np.arange(len(rows) + 1))
         high = (own[where, odd].astype(np.uint64) >> np.uint64(w)).astype("<u4")
@@ -98,12 +131,7 @@ def unpack_ids(payload: bytes, starts: list[int]) -> np.ndarray:
     for (w, n), members in alike.items():
         size = (n * w + 7) // 8
         packed = np.frombuffer(b"".join([payload[starts[i] + HEAD : starts[i] + HEAD + size] for i in members]), np.uint8)
-        bits = np.unpackbits(packed.reshape(len(members), size), axis=1, count=n * w, bitorder="little")
-        room = 2 if w <= 16 else 4
-        wide = np.packbits(bits.reshape(len(members) * n, w), axis=1, bitorder="little") if w else np.zeros((len(members) * n, 0), np.uint8)
-        full = np.zeros((len(members) * n, room), np.uint8)
-        full[:, : wide.shape[1]] = wide
-        values = full.view(f"<u{room}").reshape(len(members), n).astype(np.uint32)
+        values = _unpacked(packed.reshape(len(members), size), n, w)
         for row, i in zip(values, members, strict=True):
             at = starts[i]
             odd = int.from_bytes(payload[at + 7 : at + 9], "little")

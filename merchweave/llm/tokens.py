@@ -71,6 +71,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.pieces: dict[str, bytes] = {}
+        # What the cuts leave between pieces.
+        self.marks = {"": b"", _BARE: b"", f"{_BARE}\n": self.line_feed.to_bytes(4, "little")}
 
     def _odd(self, text: str) -> bytes:
         if "<|" in text:  # special tokens are found before pieces are cut
@@ -92,17 +94,19 @@ class Encoder:
         out: list[bytes] = []
         for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
             ids = np.asarray(found.ids, "<u4")
-            ends = np.flatnonzero(ids == self.line_feed).tolist()
+            ends = np.flatnonzero(ids == self.line_feed) * 4
             raw = ids.tobytes()
-            out += [raw[4 * a : 4 * b] for a, b in zip([0, *[e + 1 for e in ends]], [*ends, len(ids)], strict=True)]
+            out += [raw[a:b] for a, b in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(raw)], strict=True)]
         return out
 
     def _encode(self, keys: list[str]) -> list[bytes]:
         """The ids of pieces: with a blank before them, or as they are behind ``_BARE``."""
-        new = [k for k in keys if k not in self.pieces]
-        self.pieces.update(zip(new, self._lines([k[1:] if k[0] == _BARE else " " + k for k in new]), strict=True))
-        out = [self.pieces[k] for k in keys]
-        _trim(self.pieces, new)
+        pieces = self.pieces
+        pieces.update(self.marks)
+        new = [k for k in keys if k not in pieces]
+        pieces.update(zip(new, self._lines([k[1:] if k[0] == _BARE else " " + k for k in new]), strict=True))
+        out = list(map(pieces.__getitem__, keys))
+        _trim(pieces, new)
         return out
 
     def _words(self, words: pa.Array) -> pa.Array:
@@ -112,11 +116,7 @@ class Encoder:
         parts = pc.split_pattern(cut, " ")
         at = parts.offsets.to_numpy()
         coded = parts.flatten().dictionary_encode()
-        keys = coded.dictionary.to_pylist()
-        line_feed = self.line_feed.to_bytes(4, "little")
-        known = {"": b"", _BARE: b"", f"{_BARE}\n": line_feed}
-        plain = iter(self._encode([k for k in keys if k not in known]))
-        ids = [known[k] if k in known else next(plain) for k in keys]
+        ids = self._encode(coded.dictionary.to_numpy(zero_copy_only=False).tolist())  # faster than to_pylist
         laid = pa.array(ids, pa.large_binary()).take(coded.indices)
         ends = pa.py_buffer(_places(laid)[at].copy())
         return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, ends, laid.buffers()[2]])
