@@ -24,15 +24,16 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from merchweave.llm.tokens import slices
 from merchweave.session import staged
 
 HIDDEN = 16
@@ -42,7 +43,6 @@ SYMBOLS = CLASSES * CLASS_SIZE
 VOCABULARY = SYMBOLS - 2
 END, RARE = 0, 1
 KNOWN = 100_000  # words whose counts every task has at hand; the others are looked up by a join
-FLUSH = 500_000  # distinct words counted in a task before they are passed on
 LANES = 256
 STEPS = 16
 SCORE_STEPS = 64  # taken at a time in scoring; does not change results
@@ -61,8 +61,22 @@ SHAPES = {
 }
 
 
-def words(text: bytes | None) -> list[bytes]:
-    return text.lower().split() if text else []
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of binary texts one after the other, and the places where each text's words begin and end."""
+    large = pa.types.is_large_binary(texts.type)
+    plain = pc.ascii_lower(pc.fill_null(texts, b"").view(pa.large_string() if large else pa.string()))
+    parts = pc.ascii_split_whitespace(plain)
+    found = parts.flatten()
+    there = pc.greater(pc.binary_length(found), 0)  # white space at either end leaves an empty one
+    places = np.cumsum(np.append(0, there.to_numpy(zero_copy_only=False)))[parts.offsets.to_numpy()]
+    return found.filter(there).view(texts.type), places
+
+
+def documents(symbols: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
+    """The symbols of every text with an end."""
+    every = np.insert(symbols, places[1:], END)
+    ends = (places + np.arange(len(places))).tolist()
+    return (every[a:b] for a, b in zip(ends, ends[1:], strict=False))
 
 
 # ---- the network ----
@@ -100,23 +114,26 @@ def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def forward(w: dict, h: np.ndarray, inputs: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, list]:
     """States after every step (steps, lanes, hidden), and what going back needs."""
-    x, kept = w["E"][inputs], []
+    # Both parts on their own, each in one piece of memory.
+    x_gates, x_new = (np.ascontiguousarray(e)[inputs] for e in np.split(w["E"], [2 * HIDDEN], axis=1))
+    kept = []
     u_gates, u_new = w["U"][:, : 2 * HIDDEN], w["U"][:, 2 * HIDDEN :]
     states = np.empty((len(inputs), len(h), HIDDEN), np.float32)
     for t in range(len(inputs)):
         if first[t].any():
             h = np.where(first[t][:, None], np.float32(0), h)
         gates = h @ u_gates
-        gates += x[t, :, : 2 * HIDDEN]
-        gates = 1 / (1 + np.exp(-gates))
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
+        gates += x_gates[t]
+        np.exp(np.negative(gates, out=gates), out=gates)
+        gates += 1
+        np.divide(1, gates, out=gates)
+        z, r = np.ascontiguousarray(gates[:, :HIDDEN]), np.ascontiguousarray(gates[:, HIDDEN:])
         reset = r * h
         n = reset @ u_new
-        n += x[t, :, 2 * HIDDEN :]
+        n += x_new[t]
         np.tanh(n, out=n)
         kept.append((h, z, r, n, reset))
-        h = h + z * (n - h)
-        states[t] = h
+        h = np.add(h, z * (n - h), out=states[t])
     return states, kept
 
 
@@ -276,21 +293,10 @@ def count_words(docs: DataFrame) -> DataFrame:
     """(word, c) over the texts of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"]
-            )
-            seen.clear()
-            return out
-
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(words(text))
-                if len(seen) >= FLUSH:
-                    yield flush()
-        yield flush()
+            for texts in slices(batch.column(0)):
+                seen = split(texts)[0].value_counts()
+                yield pa.RecordBatch.from_arrays([seen.field("values").cast(pa.binary()), seen.field("counts")], ["word", "c"])
 
     return docs.select("text").mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -300,27 +306,22 @@ class Symbols:
 
     def __init__(self, common: list[tuple[bytes, int]]):
         ranked = sorted(common, key=lambda x: (-x[1], x[0]))
-        self.place = {word: i for i, (word, _) in enumerate(ranked)}
-        self.own = {word: i + 2 for i, (word, _) in enumerate(ranked[:VOCABULARY])}
+        self.words = pa.array([word for word, _ in ranked], pa.binary())
         self.counts = np.asarray([c for _, c in ranked], np.int64)
 
-    def places(self, text: bytes | None) -> tuple[list[bytes], np.ndarray]:
-        """The words, and each one's place among those at hand or -1."""
-        found = words(text)
-        return found, np.fromiter(map(self.place.get, found, repeat(-1)), np.int64, len(found))
-
-    def training(self, text: bytes | None) -> np.ndarray:
-        """The symbols alone, from a table of the few words that have one."""
-        found = words(text)
-        out = np.empty(len(found) + 1, np.int64)
-        out[:-1] = np.fromiter(map(self.own.get, found, repeat(RARE)), np.int64, len(found))
-        out[-1] = END
-        return out
+    def places(self, found: pa.Array, most: int | None = None) -> np.ndarray:
+        """Each word's place among those at hand (the first ``most`` of them) or -1."""
+        at_hand = self.words[:most].cast(found.type)
+        return pc.fill_null(pc.index_in(found, at_hand), -1).to_numpy().astype(np.int64)
 
     @staticmethod
     def symbols(places: np.ndarray) -> np.ndarray:
-        inside = (places >= 0) & (places < VOCABULARY)
-        return np.append(np.where(inside, places + 2, RARE), END)
+        return np.where((places >= 0) & (places < VOCABULARY), places + 2, RARE)
+
+    def training(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The symbols of every text, from the few words that have one."""
+        found, at = split(texts)
+        return documents(self.symbols(self.places(found, VOCABULARY)), at)
 
 
 def common_words(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
@@ -369,7 +370,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
             moments = {name: (np.zeros_like(x), np.zeros_like(x)) for name, x in w.items()}
             symbols = shared.value
             for batch in batches:
-                for lists in blocks(map(symbols.training, batch.column(0).to_pylist())):
+                for lists in blocks(chain.from_iterable(map(symbols.training, slices(batch.column(0))))):
                     t = learn(w, lists, moments, t)
                     seen += sum(map(len, lists))
             if seen:
@@ -400,40 +401,46 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
         base = np.log10((symbols.counts + 1) / denominator)
         end = math.log10((n_docs + 1) / denominator)
         for batch in batches:
-            size, known, base_sum, behind, n_behind = [], [], [], [], []
-            rare_words, rare_n, rare_ends = [], [], [0]
-
-            def read(texts: list[bytes | None]) -> Iterator[np.ndarray]:
-                for value in texts:
-                    found, places = symbols.places(value)
-                    there = places[places >= 0]
-                    further = there[there >= VOCABULARY]
-                    size.append(len(found) + 1)
-                    known.append(len(there) + (1 if n_docs else 0))
-                    base_sum.append(float(base[there].sum()) + end)
-                    behind.append(float(base[further].sum()))
-                    n_behind.append(len(places) - len(there) + len(further))
-                    missing = Counter([found[i] for i in np.flatnonzero(places < 0).tolist()])
-                    rare_words.extend(missing)
-                    rare_n.extend(missing.values())
-                    rare_ends.append(len(rare_words))
-                    yield symbols.symbols(places)
-
-            parts = [log_likelihoods(w, lists) for lists in blocks(read(batch.column(1).to_pylist()))]
+            sums: list[np.ndarray] = [np.zeros((5, 0))]
+            rare_words, rare_n, rare_ends = [pa.array([], pa.binary())], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+
+            def read(texts: pa.Array) -> Iterator[np.ndarray]:
+                for part in slices(texts):
+                    found, at = split(part)
+                    places, text_of = symbols.places(found), np.repeat(np.arange(len(part)), np.diff(at))
+                    there, further = places >= 0, places >= VOCABULARY
+                    own = np.zeros(len(places))
+                    own[there] = base[places[there]]
+                    behind = np.where(further, own, 0.0)
+                    sums.append(
+                        np.stack([np.bincount(text_of, x, len(part)) for x in (None, there, own, behind, ~there | further)])
+                    )
+                    missing = np.flatnonzero(~there)
+                    coded = found.take(pa.array(missing)).dictionary_encode()
+                    kinds_here = max(1, len(coded.dictionary))
+                    pairs, n = np.unique(text_of[missing] * kinds_here + coded.indices.to_numpy(), return_counts=True)
+                    owner, code = np.divmod(pairs, kinds_here)
+                    rare_words.append(coded.dictionary.take(pa.array(code)).cast(pa.binary()))
+                    rare_n.append(n)
+                    rare_ends.append(rare_ends[-1][-1] + np.searchsorted(owner, np.arange(len(part)), side="right"))
+                    yield from documents(symbols.symbols(places), at)
+
+            parts = [log_likelihoods(w, lists) for lists in blocks(read(batch.column(1)))]
+            size, known, base_sum, behind, n_behind = np.concatenate(sums, axis=1)
             network = np.concatenate(parts or [np.zeros(0)]) / math.log(10)
-            network += np.asarray(behind) - np.asarray(n_behind) * math.log10(rare_mass)
+            network += behind - n_behind * math.log10(rare_mass)
             rare = pa.StructArray.from_arrays(
-                [pa.array(rare_words, pa.binary()), pa.array(rare_n, pa.int64())], ["word", "n"]
+                [pa.concat_arrays(rare_words), pa.array(np.concatenate(rare_n))], ["word", "n"]
             )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(2),
-                    pa.array(size, pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(base_sum, pa.float64()),
-                    pa.array(network, pa.float64()),
-                    pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), rare),
+                    pa.array(size.astype(np.int64) + 1),
+                    pa.array(known.astype(np.int64) + (1 if n_docs else 0)),
+                    pa.array(base_sum + end),
+                    pa.array(network),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate(rare_ends), pa.int32()), rare),
                 ],
                 ["doc_id", "held_out", "n_tokens", "known", "base", "network", "rare"],
             )

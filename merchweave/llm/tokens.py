@@ -50,7 +50,7 @@ def _places(found: pa.Array) -> np.ndarray:
     return np.frombuffer(found.buffers()[1], np.int64, len(found) + 1)
 
 
-def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
     """Runs of texts of about ``SLICE`` bytes, one text at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
@@ -152,7 +152,7 @@ class Encoder:
 
         NULL is empty.
         """
-        for run in _slices(texts):
+        for run in slices(texts):
             yield self._slice(pc.fill_null(run, ""))
 
     def ids(self, text: str) -> bytes:
