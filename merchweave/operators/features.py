@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from merchweave.functions.ordering import ranked_values
@@ -73,22 +74,33 @@ def _reviewed():
     return F.when(F.col("review_score") > 0, F.col("review_score"))
 
 
-def user_aggregates(transactions: DataFrame) -> DataFrame:
+def user_aggregates(transactions: DataFrame, together: bool = False) -> DataFrame:
     """One row per user, plus one for lines without a user (it carries the latest purchase).
 
     Lines without a user take no part in the distinct counts, so they collapse
-    to one row per task before the shuffle.
+    to one row per task before the shuffle. Where the lines of a user stand ``together`` in a task,
+    the first line of each value is counted instead, which needs no shuffle.
     """
     known = F.col("customer_unique_id").isNotNull()
     stamp = F.col("order_purchase_timestamp")
+
+    def distinct(column: str) -> Column:
+        if together:
+            return F.count(F.when(known & F.col(f"_first_{column}"), F.col(column)))
+        return F.count_distinct(F.when(known, F.col(column)))
+
+    if together:
+        for c in ("order_id", "product_id", "category_english"):
+            place = F.row_number().over(W.partitionBy("customer_unique_id", c).orderBy(c))
+            transactions = transactions.withColumn(f"_first_{c}", place == 1)
     return transactions.groupBy("customer_unique_id").agg(
-        F.count_distinct(F.when(known, F.col("order_id"))).alias("purchase_count"),
+        distinct("order_id").alias("purchase_count"),
         money_sum(F.col("price")).alias("total_spending"),
         mean_of_money(F.col("price")).alias("avg_order_value"),
         mean_of_ints(_reviewed()).alias("avg_rating_given"),
         F.count(_reviewed()).alias("review_count"),
-        F.count_distinct(F.when(known, F.col("product_id"))).alias("distinct_products"),
-        F.count_distinct(F.when(known, F.col("category_english"))).alias("distinct_categories"),
+        distinct("product_id").alias("distinct_products"),
+        distinct("category_english").alias("distinct_categories"),
         F.coalesce(F.mode(F.when(known, F.col("category_english")), True), F.lit("unknown")).alias("preferred_category"),
         mean_of_money(F.col("freight_value")).alias("avg_freight"),
         F.min_by(
@@ -99,9 +111,9 @@ def user_aggregates(transactions: DataFrame) -> DataFrame:
     )
 
 
-def build_user_features(transactions: DataFrame, latest: Column | None = None) -> DataFrame:
+def build_user_features(transactions: DataFrame, latest: Column | None = None, together: bool = False) -> DataFrame:
     """``latest`` is the time of the latest purchase, where ``transactions`` does not hold all lines."""
-    grouped = staged(user_aggregates(transactions), "user-aggregates")
+    grouped = staged(user_aggregates(transactions, together), "user-aggregates", compression="zstd")
     latest = grouped.agg(F.max("last_purchase")).scalar() if latest is None else latest
     users = grouped.filter(F.col("customer_unique_id").isNotNull())
     bounds = bounds_of(users, "total_spending", "avg_order_value")
@@ -192,7 +204,7 @@ def item_feature_names(categories: Sequence[str]) -> list[str]:
 def build_item_features(
     transactions: DataFrame, products: DataFrame, categories: Sequence[str] = tuple(TOP_CATEGORIES)
 ) -> DataFrame:
-    grouped = staged(item_aggregates(transactions), "item-aggregates")
+    grouped = staged(item_aggregates(transactions), "item-aggregates", compression="zstd")
     attributes = products.select(
         "product_id",
         "product_weight_g",
@@ -216,7 +228,7 @@ def build_item_features(
 
 def build_interaction_features(interactions: DataFrame) -> DataFrame:
     """Scaled rating and the weighted affinity of each user-item pair."""
-    pairs = staged(interactions, "interactions")
+    pairs = staged(interactions, "interactions", compression="zstd")
     bounds = bounds_of(pairs.withColumn("rating", F.coalesce("rating", F.lit(0.0))), "rating", "purchase_count")
     rating = scale_between(F.coalesce("rating", F.lit(0.0)), bounds["rating_lo"], bounds["rating_hi"])
     frequency = scale_between(F.col("purchase_count"), bounds["purchase_count_lo"], bounds["purchase_count_hi"])

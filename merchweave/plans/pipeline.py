@@ -131,18 +131,22 @@ class Shop:
         # Amounts are added up as decimals; as such they travel in fewer bytes.
         items = self.role("order_items").withColumns({c: F.col(c).cast(MONEY) for c in ("price", "freight_value")})
         lines = transactions.purchase_lines(self.orders, items, self.reviews, self.customers)
-        lines = staged(lines.select(*features.LINE_COLUMNS), "lines", compression="zstd")
-        of_users = lines.filter(F.col("customer_unique_id").isNotNull())
-        of_users = transactions.line_categories(of_users, self.product_categories).repartition("customer_unique_id")
+        # Which order it was matters to users only. Lines are joined by their order, so every line has one.
+        owned = F.col("customer_unique_id").isNotNull()
+        lines = lines.select(*features.LINE_COLUMNS).withColumn("order_id", F.when(owned, F.col("order_id")))
+        lines = staged(lines, "lines", compression="zstd")
+        own_lines = lines.filter(owned)
+        of_users = transactions.line_categories(own_lines, self.product_categories).repartition("customer_unique_id")
         # Lines without a user count for the latest purchase only.
         latest = lines.agg(F.max("order_purchase_timestamp")).scalar()
-        # Of the order an item's features need only that there is one.
-        sold = lines.withColumn("order_id", F.when(F.col("order_id").isNotNull(), F.lit(1)))
+        sold = lines.withColumn("order_id", F.lit(1))
         of_items = transactions.line_categories(sold.filter(F.col("product_id").isNotNull()), self.product_categories)
+        # The lines of a pair meet once, with their orders.
+        pairs = own_lines.repartition("customer_unique_id", "product_id")
         return {
-            "user_features": features.build_user_features(of_users, latest),
+            "user_features": features.build_user_features(of_users, latest, True),
             "item_features": features.build_item_features(of_items, self.products, self.one_hot),
-            "interaction_features": features.build_interaction_features(transactions.build_interactions(lines)),
+            "interaction_features": features.build_interaction_features(transactions.build_interactions(pairs)),
         }
 
     @cached_property
