@@ -9,7 +9,8 @@ Only distinct fingerprints are joined, copies ride along. A signature shared by
 fingerprints is not joined within itself, which would make pairs with the square of its size. Its
 fingerprints are linked through points instead: two fingerprints differ in at most two bits exactly if
 changing at most one bit of each can give the same point, and all that share a point are linked to its
-smallest, one row each. Both ways are exact, so no link is lost.
+smallest, one row each. Both ways are exact, so no link is lost. Spark does not see in its estimates that a
+fingerprint has 64 signatures and 65 points, and would broadcast them all; their joins are merge joins at every size.
 
 Links are joined to components by repeatedly linking every node to the smallest of its neighbours, in
 tables written to the shared folder.
@@ -105,10 +106,11 @@ def links(distinct: DataFrame, few: int = FEW) -> DataFrame:
     tasks = max(partitions(distinct.sparkSession), -(-distinct.count() // DEALT))
     variants = signatures(distinct.repartition(tasks, "fp"))
     sizes = variants.groupBy("signature").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = staged(variants.join(sizes, "signature"), "signatures")
+    shared = staged(variants.hint("merge").join(sizes, "signature"), "signatures")
     small = shared.filter(F.col("n") <= few)
     close = (
         small.select("signature", F.col("fp").alias("a"))
+        .hint("merge")
         .join(small.select("signature", F.col("fp").alias("b")), "signature")
         .filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2))
         .select("a", "b")
@@ -118,7 +120,7 @@ def links(distinct: DataFrame, few: int = FEW) -> DataFrame:
     around = F.expr("concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))")
     points = crowded.select(F.col("fp").alias("b"), F.explode(around).alias("point"))
     stars = points.groupBy("point").agg(F.min("b").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    through = points.join(stars, "point").filter("a < b").select("a", "b").distinct()
+    through = points.hint("merge").join(stars, "point").filter("a < b").select("a", "b").distinct()
     return close.unionByName(through)
 
 

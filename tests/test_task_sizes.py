@@ -64,3 +64,21 @@ def test_fingerprints_are_dealt_to_more_tasks_before_their_signatures(spark, mon
     assert most[0] < 60
     pairs = {tuple(r) for r in found.collect()}
     assert all(bin(a ^ b).count("1") <= 4 for a, b in pairs) and pairs
+
+
+def test_signatures_and_points_are_not_broadcast(spark, monkeypatch):
+    plans = []
+    plain = simhash.staged
+
+    def watched(df, name, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name, **options)
+
+    monkeypatch.setattr(simhash, "staged", watched)
+    # So few that Spark takes every table for a small one, with single bits apart and some signatures crowded.
+    distinct = simhash.staged(spark.range(300).select(F.col("id").alias("fp")), "few-fingerprints")
+    found = simhash.links(distinct)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 3 and all("BroadcastExchange" not in p for p in plans)
+    root = {r.node: r.root for r in simhash.components(found).collect()}
+    assert set(root) == set(range(300)) and set(root.values()) == {0}
