@@ -3,7 +3,7 @@
 Multiplicative updates need three things of a factor: its products with the known ratings, which is a join
 and a sum over the ratings alone, its own rows, and the small matrix of all products of its columns. The zeros
 are in that matrix and never become rows. Each update writes the new factor; then the column products are summed over
-it. Only these rank x rank numbers come to the driver, whatever the size of the matrix.
+it. Only these rank x rank numbers of every task come to the driver, whatever the size of the matrix.
 
 Ratings are written twice, in buckets of their user and of their item, and factors in buckets of their id. What an
 update shuffles is then the products of ratings and factor on their way to the row they are added up for.
@@ -54,16 +54,28 @@ class Factor:
     fit: float
 
 
+def _sums(rows: DataFrame, rank: int) -> tuple[np.ndarray, float]:
+    """The products of the columns and the sum of ``fit``; a task sends one row, the upper half of its own."""
+    upper = np.triu_indices(rank)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram, fit = np.zeros((rank, rank)), 0.0
+        for batch in batches:
+            values = np.stack([c.to_numpy() for c in batch.columns], axis=1)
+            gram += values[:, :rank].T @ values[:, :rank]
+            fit += float(values[:, rank].sum())
+        yield pa.RecordBatch.from_arrays([pa.array([[*gram[upper].tolist(), fit]], pa.list_(pa.float64()))], ["sums"])
+
+    found = rows.select(*names(rank), "fit").mapInArrow(run, "sums array<double>").collect()
+    *products, fit = np.sum([r["sums"] for r in found], axis=0) if found else np.zeros(len(upper[0]) + 1)
+    gram = np.zeros((rank, rank))
+    gram[upper] = products
+    return np.maximum(gram, gram.T), float(fit)  # nothing is below 0
+
+
 def _written(rows: DataFrame, rank: int, key: str, placed: bool = False) -> Factor:
     table = bucketed(rows, key, f"factor-{key}", placed)
-    columns = names(rank)
-    upper = [(i, j) for i in range(rank) for j in range(i, rank)]
-    sums = [F.sum(F.col(columns[i]) * F.col(columns[j])) for i, j in upper]
-    *products, fit = table.agg(*sums, F.sum("fit")).first()
-    gram = np.zeros((rank, rank))
-    for (i, j), value in zip(upper, products, strict=True):
-        gram[i, j] = gram[j, i] = value or 0.0
-    return Factor(table, gram, fit or 0.0)
+    return Factor(table, *_sums(table, rank))
 
 
 def updated_rows(ratings: DataFrame, own: Factor, own_key: str, other: Factor, other_key: str, rank: int) -> DataFrame:
@@ -76,10 +88,10 @@ def updated_rows(ratings: DataFrame, own: Factor, own_key: str, other: Factor, o
     products = (
         ratings.join(other.rows, other_key)
         .groupBy(own_key)
-        .agg(*[F.sum(F.col("x") * F.col(c)).alias(f"s_{c}") for c in columns])
+        .agg(*[F.expr(f"sum(x * {c}) AS s_{c}") for c in columns])
     )
-    sums = [F.coalesce(F.col(f"s_{c}"), F.lit(0.0)).alias(f"s_{c}") for c in columns]
-    joined = own.rows.join(products, own_key, "left").select(own_key, *columns, *sums)
+    sums = [f"coalesce(s_{c}, 0D) AS s_{c}" for c in columns]
+    joined = own.rows.join(products, own_key, "left").selectExpr(own_key, *columns, *sums)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -68,8 +68,6 @@ RAW_TABLES = [
 ]
 SAMPLE_PERCENT = 10.0
 TRAINING_SAMPLE = 1000
-# A registered query has to end in a minute or two; the operator's own default is 200.
-NMF_ROUNDS = 5
 
 
 def query(fn: Query) -> Query:
@@ -966,7 +964,7 @@ def nmf_update(shop: Shop) -> DataFrame:
 
 @query
 def nmf_rating(shop: Shop) -> DataFrame:
-    return factorization.matrix_ratings(shop.train, shop.test, rounds=NMF_ROUNDS)
+    return factorization.matrix_ratings(shop.train, shop.test)
 
 
 def _model_results(shop: Shop) -> DataFrame:

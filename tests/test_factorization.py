@@ -1,10 +1,14 @@
 """Factorisation with missing ratings as 0 against dense numpy updates."""
 
+import inspect
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from merchweave.operators import factorization as nmf
+from merchweave.plans import catalog
 from merchweave.session import bucketed, discard, staged
 
 RANK = 3
@@ -99,3 +103,33 @@ def test_an_update_shuffles_products_only(spark):
     name = by_item.inputFiles()[0].rsplit("/", 2)[1]
     discard(by_item)
     assert not spark.catalog.tableExists(name)
+
+
+def test_the_query_runs_the_whole_factorisation(spark, monkeypatch):
+    rows = [(u, i, int(x)) for u, i, x in ratings(users=6, items=5)]
+    train = spark.createDataFrame(rows, "customer_unique_id long, product_id string, rating int")
+    asked = []
+    plain = nmf.factorise
+
+    def short(*given, **named):
+        call = inspect.signature(plain).bind(*given, **named)
+        call.apply_defaults()
+        asked.append(dict(call.arguments))
+        call.arguments["rounds"] = 1
+        return plain(*call.args, **call.kwargs)
+
+    monkeypatch.setattr(nmf, "factorise", short)
+    found = catalog.QUERIES["nmf_rating"](SimpleNamespace(train=train, test=train.limit(3)))
+    assert found.count() == 3
+    (call,) = asked
+    assert [call[x] for x in ("rank", "rounds", "check", "tolerance")] == [20, 200, 10, 1e-4]
+
+
+def test_column_products_of_a_written_factor(spark):
+    table = np.random.default_rng(5).random((50, RANK + 1))
+    columns = ["id long", *[f"{c} double" for c in nmf.names(RANK)], "fit double"]
+    frame = spark.createDataFrame([(i, *r.tolist()) for i, r in enumerate(table)], ", ".join(columns))
+    for rows in (frame.repartition(3), frame.filter("id < 0"), frame.limit(1)):
+        gram, fit = nmf._sums(rows, RANK)
+        own = np.asarray([tuple(r)[1:] for r in rows.collect()]).reshape(-1, RANK + 1)
+        assert np.allclose(gram, own[:, :RANK].T @ own[:, :RANK]) and fit == pytest.approx(own[:, RANK].sum())
