@@ -132,7 +132,8 @@ def components(pairs: DataFrame) -> DataFrame:
         # Larger neighbours, then smaller ones, move to the smallest neighbour of each node.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        larger = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # Every node has a smallest neighbour; in a left join the table of all edges is never broadcast.
+        larger = both.join(least, "u", "left").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = larger.groupBy("u").agg(F.min("v").alias("m"))
         smaller = larger.join(down, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         edges = staged(smaller.filter("u <> v").distinct(), "edges")
@@ -158,7 +159,8 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
     by_fp = rooted.join(names, "root").select(
         F.col("fp").alias("__fp"), F.col("best.doc_id").alias("component_id"), F.col("best.text_hash").alias("first_hash")
     )
-    return known.join(by_fp, F.col("fp") == F.col("__fp")).drop("__fp")
+    # Every fingerprint is there; in a left join the table of all rows, which copies make small on disk, is never broadcast.
+    return known.join(by_fp, F.col("fp") == F.col("__fp"), "left").drop("__fp")
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

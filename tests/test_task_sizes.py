@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from merchweave.llm import simhash
 from merchweave.operators import neighbours, recommend
 from tests.test_neighbours import answers, as_frame, brute, random_vectors
@@ -82,3 +83,27 @@ def test_signatures_and_points_are_not_broadcast(spark, monkeypatch):
     assert len(plans) == 3 and all("BroadcastExchange" not in p for p in plans)
     root = {r.node: r.root for r in simhash.components(found).collect()}
     assert set(root) == set(range(300)) and set(root.values()) == {0}
+
+
+def test_the_pipeline_stage_links_its_documents_without_broadcasts(spark, monkeypatch):
+    plans = {}
+    plain = simhash.staged
+
+    def watched(df, name, **options):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name, **options)
+
+    monkeypatch.setattr(simhash, "staged", watched)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    words = [f"w{i}" for i in range(200)]
+    texts = [(1, " ".join(words)), (2, " ".join(reversed(words))), (3, " ".join(words)), (4, None), (5, ""), (6, " ".join(words[:50]))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    try:
+        kept = corpus_pipeline.without_near_copies(spark, docs, "")
+        assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 6]
+    finally:
+        spark.conf.set(key, before)
+    # The signatures, then the first links, which come from both ways.
+    assert "Generate explode" in plans["signatures"]
+    assert all("BroadcastExchange" not in plans[name] for name in ("signatures", "edges"))
